@@ -10,12 +10,17 @@ rare to common; the common end of a vector is left out of the index as long as w
 out is shorter than the threshold. Two vectors whose cosine reaches the threshold must then
 share an indexed word (the part of one vector after its last indexed word is too short to
 reach it alone), so nothing is missed, while the most common words hardly enter the index.
-Each candidate pair is scored once, at its first shared word, from the vectors travelling with
-the index rows. Long index entries are cut into blocks that are joined block by block.
+Index entries travel with their vectors. Entries of one word meet in one task, or, when a word
+has many, block by block; the task multiplies the block's vectors, keeps what passes the
+threshold, and leaves a pair to the first word that both index.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import IDF, HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -23,9 +28,12 @@ from pyspark.sql import functions as F
 
 from basketry.functions.text import tag_words
 from basketry.operators.lists import top_k
+from basketry.runtime import shuffle_width
 
-#: Index entries of one word that one join key may hold on either side.
-POSTING_BLOCK = 2048
+#: Index entries of one word that a task holds on either side.
+POSTING_BLOCK = 1024
+_WORDS_AT_ONCE = 1024
+_PAIRS = "a string, b string, score double"
 # A vector's part left out of the index must be shorter than the threshold by this factor,
 # so that rounding in the sums cannot drop a pair.
 _MARGIN = 1 - 1e-6
@@ -80,36 +88,112 @@ def tfidf(product: DataFrame) -> DataFrame:
 
 
 def _indexed_vectors(weights: DataFrame, threshold: float) -> DataFrame:
-    """``profile, vector, index``: unit vector as a word map, and the words to index."""
+    """``profile, terms, values, index``: unit vector, and the words to index, rarest first."""
     whole = Window.partitionBy("profile")
     tail = whole.orderBy(F.desc("df"), F.desc("word")).rowsBetween(Window.unboundedPreceding, 0)
     square = F.col("weight") * F.col("weight")
     rows = weights.withColumn("norm2", F.sum(square).over(whole)).withColumn(
         "tail2", F.sum(square).over(tail)
     )
-    unit = F.struct("word", (F.col("weight") / F.sqrt("norm2")).alias("weight"))
-    entry = F.when(
-        F.col("tail2") >= F.lit(threshold * threshold * _MARGIN) * F.col("norm2"),
-        F.struct("df", "word", "holders"),
+    unit = F.struct(
+        "df", "word", "holders", (F.col("weight") / F.sqrt("norm2")).alias("value"),
+        (F.col("tail2") >= F.lit(threshold * threshold * _MARGIN) * F.col("norm2")).alias("keep"),
     )
-    return rows.groupBy("profile").agg(
-        F.map_from_entries(F.collect_list(unit)).alias("vector"),
-        F.array_sort(F.collect_list(entry)).alias("index"),
+    vector = rows.groupBy("profile").agg(F.array_sort(F.collect_list(unit)).alias("v"))
+    return vector.select(
+        "profile", F.col("v.word").alias("terms"), F.col("v.value").alias("values"),
+        F.filter("v", lambda e: e["keep"]).alias("index"),
     )
 
 
 def _postings(vectors: DataFrame, posting_block: int) -> DataFrame:
+    """Index entries with the vector they belong to and the words indexed before them."""
     entry = vectors.select(
-        "profile", "vector", F.transform("index", lambda e: e["word"]).alias("words"),
-        F.explode("index").alias("entry"),
+        "profile", "terms", "values", F.col("index.word").alias("indexed"),
+        F.posexplode("index").alias("pos", "entry"),
     )
     blocks = F.ceil(F.col("entry.holders") / posting_block)
     return entry.select(
-        "profile", "vector", "words", F.col("entry.word").alias("word"),
+        F.col("entry.word").alias("word"), "profile", "terms", "values",
+        F.slice("indexed", F.lit(1), F.col("pos")).alias("earlier"),
         blocks.alias("blocks"), F.pmod(F.xxhash64("profile"), blocks).alias("block"),
     )
 
 
+@dataclass
+class _Rows:
+    """Posting rows as flat arrays of word codes."""
+
+    profile: np.ndarray
+    codes: list[np.ndarray]
+    values: list[np.ndarray]
+    earlier: list[np.ndarray]
+
+    def part(self, start: int, stop: int) -> _Rows:
+        return _Rows(*(x[start:stop] for x in vars(self).values()))
+
+
+def _encode(*frames: pd.DataFrame) -> list[_Rows]:
+    """Give the words of some frames common integer codes."""
+    words = pd.Index(np.unique(np.concatenate([t for f in frames for t in f["terms"]])))
+
+    def coded(lists: pd.Series) -> list[np.ndarray]:
+        stops = np.cumsum([len(x) for x in lists])
+        flat = np.concatenate(list(lists)) if len(lists) else np.array([], dtype=object)
+        return np.split(words.get_indexer(flat), stops[:-1])
+
+    return [
+        _Rows(f["profile"].to_numpy(), coded(f["terms"]), list(f["values"]), coded(f["earlier"]))
+        for f in frames
+    ]
+
+
+def _dense(codes: list[np.ndarray], values: list[np.ndarray] | None, columns: np.ndarray):
+    """Rows x ``columns`` matrix of values (or of ones)."""
+    row = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
+    flat = np.concatenate(codes)
+    at = np.searchsorted(columns, flat)
+    known = (at < len(columns)) & (columns[np.minimum(at, len(columns) - 1)] == flat)
+    matrix = np.zeros((len(codes), len(columns)))
+    matrix[row[known], at[known]] = 1.0 if values is None else np.concatenate(values)[known]
+    return matrix
+
+
+def _products(left: list, right: list, values: tuple | None) -> np.ndarray:
+    """Dot products of two lists of sparse rows, a bounded number of words at a time."""
+    shared = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    total = np.zeros((len(left), len(right)))
+    for start in range(0, len(shared), _WORDS_AT_ONCE):
+        columns = shared[start:start + _WORDS_AT_ONCE]
+        a = _dense(left, values and values[0], columns)
+        total += a @ _dense(right, values and values[1], columns).T
+    return total
+
+
+def _similar(
+    left: _Rows, right: _Rows, same: bool, threshold: float, digits: int
+) -> pd.DataFrame | None:
+    """Pairs above the threshold that share no earlier indexed word."""
+    score = np.round(_products(left.codes, right.codes, (left.values, right.values)), digits)
+    if same:
+        score = np.triu(score, 1)
+    row, col = np.nonzero(score > threshold)
+    if len(row) == 0:
+        return None
+    first = _products(left.earlier, right.earlier, None)[row, col] == 0
+    row, col = row[first], col[first]
+    p, q = left.profile[row], right.profile[col]
+    swap = p > q
+    return pd.DataFrame({
+        "a": np.where(swap, q, p), "b": np.where(swap, p, q), "score": score[row, col],
+    })
+
+
+def _joined(parts: list) -> pd.DataFrame:
+    parts = [p for p in parts if p is not None]
+    return pd.concat(parts) if parts else pd.DataFrame({"a": [], "b": [], "score": []})
+
+
 def profile_pairs(
     weights: DataFrame, threshold: float = 0.4, posting_block: int = POSTING_BLOCK,
     digits: int = 6,
@@ -118,33 +202,52 @@ def profile_pairs(
     if threshold <= 0:
         raise ValueError("the index needs a positive threshold")
     entries = _postings(_indexed_vectors(weights, threshold), posting_block)
-    left = entries.select(
-        "word", F.col("block").alias("i"),
+    fields = ["word", "profile", "terms", "values", "earlier"]
+
+    def within_words(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["word", "profile"], ignore_index=True)
+        coded = _encode(rows)[0]
+        edges = np.flatnonzero(rows["word"].ne(rows["word"].shift()))
+        out = []
+        for start, stop in zip(edges, [*edges[1:], len(rows)], strict=True):
+            if stop - start > 1:
+                part = coded.part(start, stop)
+                out.append(_similar(part, part, True, threshold, digits))
+        return _joined(out)
+
+    def between_blocks(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return _joined([])
+        right = right.rename(columns=lambda c: c.removesuffix("_r"))
+        same = left["i"].iloc[0] == left["j"].iloc[0]
+        a, b = _encode(left.sort_values("profile"), right.sort_values("profile"))
+        return _joined([_similar(a, b, same, threshold, digits)])
+
+    # Words that fit one block: many of them per task.
+    short = entries.where(F.col("blocks") == 1)
+    groups = F.greatest(
+        F.lit(shuffle_width(weights.sparkSession)).cast("long"),
+        F.ceil(short.agg(F.count(F.lit(1))).scalar() / (4 * posting_block)),
+    )
+    inside = short.select(*fields, F.pmod(F.xxhash64("word"), groups).alias("g")).groupBy(
+        "g"
+    ).applyInPandas(within_words, _PAIRS)
+
+    # Longer words: one task per pair of blocks.
+    long = entries.where(F.col("blocks") > 1)
+    left = long.select(
+        *fields, F.col("block").alias("i"),
         F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"),
-        F.col("profile").alias("p"), F.col("vector").alias("u"), F.col("words").alias("index_p"),
     )
-    right = entries.select(
-        "word", F.explode(F.sequence(F.lit(0).cast("long"), F.col("block"))).alias("i"),
+    right = long.select(
+        *fields, F.explode(F.sequence(F.lit(0).cast("long"), F.col("block"))).alias("i"),
         F.col("block").alias("j"),
-        F.col("profile").alias("q"), F.col("vector").alias("v"), F.col("words").alias("index_q"),
-    )
-    once = ((F.col("i") < F.col("j")) | (F.col("p") < F.col("q"))) & (
-        F.get(F.array_intersect("index_p", "index_q"), F.lit(0)) == F.col("word")
-    )
-    inner = F.aggregate(
-        F.map_entries("u"), F.lit(0.0),
-        lambda s, e: s + e["value"] * F.coalesce(
-            F.try_element_at(F.col("v"), e["key"]), F.lit(0.0)
-        ),
-    )
-    return (
-        left.join(right, ["word", "i", "j"]).where(once)
-        .select(
-            F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"),
-            F.round(inner, digits).alias("score"),
-        )
-        .where(F.col("score") > threshold)
     )
+    right = right.toDF(*[f"{c}_r" for c in right.columns])
+    across = left.groupBy("word", "i", "j").cogroup(
+        right.groupBy("word_r", "i_r", "j_r")
+    ).applyInPandas(between_blocks, _PAIRS)
+    return inside.unionByName(across)
 
 
 def directed(pairs: DataFrame) -> DataFrame:

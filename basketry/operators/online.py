@@ -93,7 +93,7 @@ def online_recs(
     min_sim: float = 0.2,
     like_over: float = 2.0,
     exclude_rated: bool = True,
-    digits: int = 6,
+    digits: int = 10,
 ) -> DataFrame:
     """``user_id, rank, product_id, score`` for the users of ``current``.
 
@@ -101,6 +101,7 @@ def online_recs(
     (the first ``n`` count). The score is the mean of similarity x rating over the recent
     ratings more similar than ``min_sim``, plus log10 of the number of liked ones among them,
     minus log10 of the number of others. A candidate without such a rating is left out.
+    The mean is summed in decimals, so it does not depend on the order of the rows.
     """
     near = _near(sims, members)
     chosen = candidates(current, near, rated, members, k, exclude_rated)
@@ -121,9 +122,10 @@ def online_recs(
     one = F.lit(1).cast("long")
     liked = F.count_if(F.col("rating") > like_over)
     other = F.count_if(F.col("rating") <= like_over)
+    weighted = F.round(F.col("sim") * F.col("rating"), 8).cast("decimal(28,8)")
     scored = terms.groupBy("user_id", F.col("candidate").alias("product_id")).agg(
         F.round(
-            F.avg(F.col("sim") * F.col("rating"))
+            F.sum(weighted).cast("double") / F.count(F.lit(1))
             + F.log10(F.greatest(liked, one)) - F.log10(F.greatest(other, one)),
             digits,
         ).alias("score")

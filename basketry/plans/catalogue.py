@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions import dates, hashing, text
 from basketry.operators import als, content, dense, events, itemcf, online, ratings, stats, users
-from basketry.operators.lists import to_rec_list
+from basketry.operators.lists import from_rec_list, to_rec_list
 from basketry.plans import serving
 from basketry.runtime import cut_lineage
 from basketry.sources import files, retail
@@ -140,7 +140,7 @@ def content_topk(spark: SparkSession, sf: str) -> DataFrame:
     return content.content_topk(retail.product(spark, sf), TOP)
 
 
-def _content_near(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def content_near(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     product = retail.product(spark, sf)
     profile = content.profiles(product)
     weights = content.term_weights(profile)
@@ -150,7 +150,7 @@ def _content_near(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 
 def similar_by_content(spark: SparkSession, sf: str) -> DataFrame:
-    members, near = _content_near(spark, sf)
+    members, near = content_near(spark, sf)
     return serving.similar_by_content(
         _event_products(spark, sf), members, near, retail.product(spark, sf),
         average_score(spark, sf),
@@ -194,12 +194,22 @@ def offline_recs(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- online recommendation ---------------------------------------------------------------
 
-def online_recs(spark: SparkSession, sf: str) -> DataFrame:
-    arriving = retail.event_rating(spark, sf)
-    members, near = _content_near(spark, sf)
-    rated = retail.rating(spark, sf).select("user_id", "product_id").unionByName(
+def rated_products(spark: SparkSession, sf: str) -> DataFrame:
+    """What users rated, in the table or on the stream."""
+    stored, arriving = retail.rating(spark, sf), retail.event_rating(spark, sf)
+    return stored.select("user_id", "product_id").unionByName(
         arriving.select("user_id", "product_id")
     )
+
+
+def flat_lists(lists: DataFrame) -> DataFrame:
+    return from_rec_list(lists, "user_id")
+
+
+def online_recs(spark: SparkSession, sf: str) -> DataFrame:
+    arriving = retail.event_rating(spark, sf)
+    members, near = content_near(spark, sf)
+    rated = rated_products(spark, sf)
     return online.online_recs(
         online.newest_per_user(arriving, ("event_id",)),
         ratings.recent_ratings(arriving, 20, ("event_id",)),

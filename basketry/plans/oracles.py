@@ -93,8 +93,9 @@ term AS (
   WHERE content.score > 0.2),
 scored AS (
   SELECT user_id, candidate AS product_id,
-         round(avg(sim * rating) + log10(greatest(count(*) FILTER (rating > 2), 1))
-               - log10(greatest(count(*) FILTER (rating <= 2), 1)), 6) AS score
+         round(sum(CAST(round(sim * rating, 8) AS DECIMAL(28, 8)))::DOUBLE / count(*)
+               + log10(greatest(count(*) FILTER (rating > 2), 1))
+               - log10(greatest(count(*) FILTER (rating <= 2), 1)), 10) AS score
   FROM term GROUP BY 1, 2),
 online AS (
   SELECT user_id, CAST(row_number() OVER (
@@ -289,3 +290,24 @@ SELECT c_custkey::INTEGER AS user_id, c_name AS username, user_id IS NULL AS fir
        coalesce(genres, c_mktsegment) AS genres
 FROM customer LEFT JOIN wish ON user_id = c_custkey""",
 }
+
+# Windows whose end the watermark has reached, which is where the last event is.
+STREAMS: dict[str, str] = {
+    "stream_hot_items": f"""WITH {_BEHAVIOR}, {_WINDOW_COUNTS}, {_WINDOW_TOP}
+SELECT {_SECOND.format('window_end')}, rank, product_id, count FROM top
+WHERE window_end <= (SELECT max(ts) FROM events)""",
+    "stream_uv": BATCH["uv_hourly"],
+    "stream_login_alerts": BATCH["login_alerts_24h"]
+    + " WHERE ts < (SELECT date_trunc('millisecond', max(ts)) FROM events)",
+    "stream_lockouts": BATCH["lockout_until"].replace(
+        "FROM alert GROUP",
+        "FROM alert WHERE ts < (SELECT date_trunc('millisecond', max(ts)) FROM events) GROUP",
+    ),
+    "stream_recent_ratings": f"""WITH {_BEHAVIOR}, {_EVENT_RATING}
+SELECT user_id, CAST(row_number() OVER (
+         PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS INTEGER) AS rank,
+       product_id, score, {_SECOND.format('ts')}
+FROM event_rating QUALIFY rank <= 40""",
+    "stream_online_recs": BATCH["online_recs"],
+    "stream_relay": BATCH["ratings_from_log"],
+}
