@@ -172,26 +172,25 @@ def _products(left: list, right: list, values: tuple | None) -> np.ndarray:
 
 def _similar(
     left: _Rows, right: _Rows, same: bool, threshold: float, digits: int
-) -> pd.DataFrame | None:
-    """Pairs above the threshold that share no earlier indexed word."""
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs above the threshold that share no earlier indexed word: a, b, score."""
     score = np.round(_products(left.codes, right.codes, (left.values, right.values)), digits)
     if same:
         score = np.triu(score, 1)
     row, col = np.nonzero(score > threshold)
-    if len(row) == 0:
-        return None
     first = _products(left.earlier, right.earlier, None)[row, col] == 0
     row, col = row[first], col[first]
     p, q = left.profile[row], right.profile[col]
     swap = p > q
-    return pd.DataFrame({
-        "a": np.where(swap, q, p), "b": np.where(swap, p, q), "score": score[row, col],
-    })
+    return np.where(swap, q, p), np.where(swap, p, q), score[row, col]
 
 
 def _joined(parts: list) -> pd.DataFrame:
-    parts = [p for p in parts if p is not None]
-    return pd.concat(parts) if parts else pd.DataFrame({"a": [], "b": [], "score": []})
+    a, b, score = (np.concatenate([p[i] for p in parts]) if parts else [] for i in range(3))
+    return pd.DataFrame({
+        "a": pd.Series(a, dtype=object), "b": pd.Series(b, dtype=object),
+        "score": pd.Series(score, dtype="float64"),
+    })
 
 
 def profile_pairs(
