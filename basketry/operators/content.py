@@ -28,44 +28,48 @@ from pyspark.sql import functions as F
 
 from basketry.functions.text import tag_words
 from basketry.operators.lists import top_k
-from basketry.runtime import shuffle_width
+from basketry.runtime import cut_lineage, shuffle_width
 
 #: Index entries of one word that a task holds on either side.
 POSTING_BLOCK = 1024
 _WORDS_AT_ONCE = 1024
-_PAIRS = "a string, b string, score double"
+_PAIRS = "a long, b long, score double"
 # A vector's part left out of the index must be shorter than the threshold by this factor,
 # so that rounding in the sums cannot drop a pair.
 _MARGIN = 1 - 1e-6
 
 
-def profile_key(words: Column) -> Column:
+def words_key(words: Column) -> Column:
     """Identifies a multiset of words."""
     return F.md5(F.array_join(F.array_sort(words), "\u0001"))
 
 
-def profile_members(product: DataFrame) -> DataFrame:
-    """``product_id, profile`` of every product; needs no shuffle."""
-    return product.select("product_id", profile_key(tag_words(F.col("tags"))).alias("profile"))
-
-
 def profiles(product: DataFrame) -> DataFrame:
-    """``profile, words, members, first_id``: one row per distinct tag multiset."""
+    """``profile, key, words, members``: one row per distinct tag multiset. The smallest
+    product id names the profile."""
     words = product.select("product_id", F.array_sort(tag_words(F.col("tags"))).alias("words"))
     return (
-        words.groupBy(profile_key(F.col("words")).alias("profile"), "words")
-        .agg(F.count(F.lit(1)).alias("members"), F.min("product_id").alias("first_id"))
+        words.groupBy(words_key(F.col("words")).alias("key"), "words")
+        .agg(F.min("product_id").alias("profile"), F.count(F.lit(1)).alias("members"))
     )
 
 
+def profile_members(product: DataFrame, vectors: DataFrame) -> DataFrame:
+    """``product_id, profile`` of every product that has a vector."""
+    keyed = product.select("product_id", words_key(tag_words(F.col("tags"))).alias("key"))
+    return keyed.join(vectors.select("key", "profile"), "key").select("product_id", "profile")
+
+
 def term_weights(profile: DataFrame) -> DataFrame:
-    """``profile, word, tf, df, holders, weight``: TF-IDF with ``ln((m + 1) / (df + 1))``.
+    """``profile, key, members, word, tf, df, holders, weight``: TF-IDF with
+    ``ln((m + 1) / (df + 1))``.
 
     ``df`` counts products, ``holders`` counts profiles. Words of weight 0 are left out.
     """
-    counted = profile.select("profile", "members", F.explode("words").alias("word")).groupBy(
-        "profile", "members", "word"
-    ).agg(F.count(F.lit(1)).alias("tf"))
+    key = ["profile", "key", "members", "word"]
+    counted = profile.select(*key[:3], F.explode("words").alias("word")).groupBy(*key).agg(
+        F.count(F.lit(1)).alias("tf")
+    )
     vocabulary = counted.groupBy("word").agg(
         F.sum("members").alias("df"), F.count(F.lit(1)).alias("holders")
     )
@@ -75,20 +79,21 @@ def term_weights(profile: DataFrame) -> DataFrame:
         F.log((products + 1) / (F.col("df") + 1)).alias("idf"),
     ).where(F.col("idf") > 0)
     return counted.join(idf, "word").select(
-        "profile", "word", "tf", "df", "holders", (F.col("tf") * F.col("idf")).alias("weight")
+        *key, "tf", "df", "holders", (F.col("tf") * F.col("idf")).alias("weight")
     )
 
 
 def tfidf(product: DataFrame) -> DataFrame:
     """``product_id, word, tf, weight`` with the exact vocabulary."""
-    weights = term_weights(profiles(product)).select("profile", "word", "tf", "weight")
-    return profile_members(product).join(weights, "profile").select(
-        "product_id", "word", "tf", "weight"
-    )
+    weights = term_weights(profiles(product)).select("key", "word", "tf", "weight")
+    keyed = product.select("product_id", words_key(tag_words(F.col("tags"))).alias("key"))
+    return keyed.join(weights, "key").select("product_id", "word", "tf", "weight")
 
 
-def _indexed_vectors(weights: DataFrame, threshold: float) -> DataFrame:
-    """``profile, terms, values, index``: unit vector, and the words to index, rarest first."""
+def unit_vectors(weights: DataFrame, threshold: float) -> DataFrame:
+    """``profile, key, members, terms, values, index``: unit vectors, and the words to index
+    for ``threshold``, rarest first. Written down, because the pair search reads it often.
+    """
     whole = Window.partitionBy("profile")
     tail = whole.orderBy(F.desc("df"), F.desc("word")).rowsBetween(Window.unboundedPreceding, 0)
     square = F.col("weight") * F.col("weight")
@@ -99,11 +104,19 @@ def _indexed_vectors(weights: DataFrame, threshold: float) -> DataFrame:
         "df", "word", "holders", (F.col("weight") / F.sqrt("norm2")).alias("value"),
         (F.col("tail2") >= F.lit(threshold * threshold * _MARGIN) * F.col("norm2")).alias("keep"),
     )
-    vector = rows.groupBy("profile").agg(F.array_sort(F.collect_list(unit)).alias("v"))
-    return vector.select(
-        "profile", F.col("v.word").alias("terms"), F.col("v.value").alias("values"),
-        F.filter("v", lambda e: e["keep"]).alias("index"),
+    vector = rows.groupBy("profile").agg(
+        F.first("key").alias("key"), F.first("members").alias("members"),
+        F.array_sort(F.collect_list(unit)).alias("v"),
     )
+    return cut_lineage(vector.select(
+        "profile", "key", "members", F.col("v.word").alias("terms"),
+        F.col("v.value").alias("values"), F.filter("v", lambda e: e["keep"]).alias("index"),
+    ), "vectors")
+
+
+def content_vectors(product: DataFrame, threshold: float = 0.4) -> DataFrame:
+    """``unit_vectors`` of a product table."""
+    return unit_vectors(term_weights(profiles(product)), threshold)
 
 
 def _postings(vectors: DataFrame, posting_block: int) -> DataFrame:
@@ -171,36 +184,50 @@ def _products(left: list, right: list, values: tuple | None) -> np.ndarray:
 
 
 def _similar(
-    left: _Rows, right: _Rows, same: bool, threshold: float, digits: int
+    left: _Rows, right: _Rows, same: bool, threshold: float, digits: int, best: int | None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs above the threshold that share no earlier indexed word: a, b, score."""
+    """Pairs above the threshold that share no earlier indexed word: a, b, score.
+
+    Each pair comes once with a < b, or, with ``best``, once per direction and only the
+    ``best`` rows of each a.
+    """
     score = np.round(_products(left.codes, right.codes, (left.values, right.values)), digits)
     if same:
         score = np.triu(score, 1)
     row, col = np.nonzero(score > threshold)
     first = _products(left.earlier, right.earlier, None)[row, col] == 0
     row, col = row[first], col[first]
-    p, q = left.profile[row], right.profile[col]
-    swap = p > q
-    return np.where(swap, q, p), np.where(swap, p, q), score[row, col]
+    a, b, score = left.profile[row], right.profile[col], score[row, col]
+    if best is None:
+        return np.minimum(a, b), np.maximum(a, b), score
+    a, b, score = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([score, score])
+    order = np.lexsort((b, -score, a))
+    a, b, score = a[order], b[order], score[order]
+    keep = np.arange(len(a)) - np.searchsorted(a, a, side="left") < best
+    return a[keep], b[keep], score[keep]
 
 
 def _joined(parts: list) -> pd.DataFrame:
     a, b, score = (np.concatenate([p[i] for p in parts]) if parts else [] for i in range(3))
-    return pd.DataFrame({
-        "a": pd.Series(a, dtype=object), "b": pd.Series(b, dtype=object),
-        "score": pd.Series(score, dtype="float64"),
-    })
+    return pd.DataFrame({"a": a, "b": b, "score": score}).astype(
+        {"a": "int64", "b": "int64", "score": "float64"}
+    )
 
 
 def profile_pairs(
-    weights: DataFrame, threshold: float = 0.4, posting_block: int = POSTING_BLOCK,
-    digits: int = 6,
+    vectors: DataFrame, threshold: float = 0.4, posting_block: int = POSTING_BLOCK,
+    digits: int = 6, best: int | None = None,
 ) -> DataFrame:
-    """``a, b, score`` for profiles ``a < b`` whose cosine exceeds ``threshold`` (> 0)."""
+    """``a, b, score`` for profiles ``a < b`` whose cosine exceeds ``threshold`` (> 0), which
+    must not be lower than the one the vectors were indexed for.
+
+    With ``best``, rows come in both directions and every task returns at most ``best`` rows
+    per word and profile (highest score, then smallest b), enough to take the ``best`` of each
+    profile from.
+    """
     if threshold <= 0:
         raise ValueError("the index needs a positive threshold")
-    entries = _postings(_indexed_vectors(weights, threshold), posting_block)
+    entries = _postings(vectors, posting_block)
     fields = ["word", "profile", "terms", "values", "earlier"]
 
     def within_words(rows: pd.DataFrame) -> pd.DataFrame:
@@ -211,7 +238,7 @@ def profile_pairs(
         for start, stop in zip(edges, [*edges[1:], len(rows)], strict=True):
             if stop - start > 1:
                 part = coded.part(start, stop)
-                out.append(_similar(part, part, True, threshold, digits))
+                out.append(_similar(part, part, True, threshold, digits, best))
         return _joined(out)
 
     def between_blocks(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -219,13 +246,13 @@ def profile_pairs(
             return _joined([])
         right = right.rename(columns=lambda c: c.removesuffix("_r"))
         same = left["i"].iloc[0] == left["j"].iloc[0]
-        a, b = _encode(left.sort_values("profile"), right.sort_values("profile"))
-        return _joined([_similar(a, b, same, threshold, digits)])
+        x, y = _encode(left.sort_values("profile"), right.sort_values("profile"))
+        return _joined([_similar(x, y, same, threshold, digits, best)])
 
     # Words that fit one block: many of them per task.
     short = entries.where(F.col("blocks") == 1)
     groups = F.greatest(
-        F.lit(shuffle_width(weights.sparkSession)).cast("long"),
+        F.lit(shuffle_width(vectors.sparkSession)).cast("long"),
         F.ceil(short.agg(F.count(F.lit(1))).scalar() / (4 * posting_block)),
     )
     inside = short.select(*fields, F.pmod(F.xxhash64("word"), groups).alias("g")).groupBy(
@@ -257,13 +284,15 @@ def directed(pairs: DataFrame) -> DataFrame:
     )))
 
 
-def profile_neighbours(pairs: DataFrame, profile: DataFrame, weights: DataFrame) -> DataFrame:
-    """``directed`` plus each shared, non-zero profile as its own neighbour at score 1."""
-    shared = profile.where(F.col("members") > 1).join(
-        weights.select("profile").distinct(), "profile", "left_semi"
+def _own(vectors: DataFrame) -> DataFrame:
+    return vectors.where(F.col("members") > 1).select(
+        "profile", F.col("profile").alias("other"), F.lit(1.0).alias("score")
     )
-    own = shared.select("profile", F.col("profile").alias("other"), F.lit(1.0).alias("score"))
-    return directed(pairs).unionByName(own)
+
+
+def profile_neighbours(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
+    """``directed`` plus each shared profile as its own neighbour at score 1."""
+    return directed(pairs).unionByName(_own(vectors))
 
 
 def content_topk(
@@ -271,19 +300,18 @@ def content_topk(
 ) -> DataFrame:
     """``product_id, rank, other_id, score``: the ``k`` most similar products, ties by id.
 
-    Exact without expanding the pair table: among the neighbours of a profile only the first
-    ``k + 1`` profiles, and of each only its ``k + 1`` smallest ids, can reach a list.
+    Exact without writing down every similar pair: among the neighbours of a profile only the
+    first ``k + 1`` profiles (by score, then smallest member), and of each only its ``k + 1``
+    smallest ids, can reach a list.
     """
-    profile = profiles(product)
-    weights = term_weights(profile)
-    members = profile_members(product)
-    near = profile_neighbours(
-        profile_pairs(weights, threshold, posting_block), profile, weights
+    vectors = content_vectors(product, threshold)
+    members = profile_members(product, vectors)
+    found = profile_pairs(vectors, threshold, posting_block, best=k + 1).select(
+        F.col("a").alias("profile"), F.col("b").alias("other"), "score"
     )
-    first = profile.select(F.col("profile").alias("other"), "first_id")
     near = top_k(
-        near.join(first, "other"), "profile", [F.desc("score"), F.asc("first_id")], k + 1
-    ).drop("rank", "first_id")
+        found.unionByName(_own(vectors)), "profile", [F.desc("score"), F.asc("other")], k + 1
+    ).drop("rank")
     leading = top_k(members, "profile", [F.asc("product_id")], k + 1).select(
         F.col("profile").alias("other"), F.col("product_id").alias("other_id")
     )
@@ -320,21 +348,22 @@ def content_neighbours(
     )
 
 
-def hashed_weights(product: DataFrame, buckets: int = 500) -> tuple[DataFrame, DataFrame]:
-    """(profiles, weights) with words hashed into ``buckets``, by Spark ML's own stages."""
+def hashed_weights(product: DataFrame, buckets: int = 500) -> DataFrame:
+    """``term_weights`` with words hashed into ``buckets``, by Spark ML's own stages."""
     words = product.select("product_id", tag_words(F.col("tags")).alias("words"))
     counted = HashingTF(numFeatures=buckets, inputCol="words", outputCol="tf").transform(words)
     scaled = IDF(inputCol="tf", outputCol="features").fit(counted).transform(counted)
     # One row per distinct vector; the multiset of words still names it.
-    grouped = scaled.withColumn("profile", profile_key(F.col("words"))).groupBy("profile").agg(
-        F.count(F.lit(1)).alias("members"), F.min("product_id").alias("first_id"),
+    grouped = scaled.groupBy(words_key(F.col("words")).alias("key")).agg(
+        F.count(F.lit(1)).alias("members"), F.min("product_id").alias("profile"),
         F.first(vector_to_array("features")).alias("features"),
     )
     cells = grouped.select(
-        "profile", "members", F.posexplode("features").alias("bucket", "weight")
+        "profile", "key", "members", F.posexplode("features").alias("bucket", "weight")
     ).where(F.col("weight") > 0).withColumn("word", F.col("bucket").cast("string"))
     frequency = cells.groupBy("word").agg(
         F.sum("members").alias("df"), F.count(F.lit(1)).alias("holders")
     )
-    weights = cells.join(frequency, "word").select("profile", "word", "df", "holders", "weight")
-    return grouped.select("profile", "members", "first_id"), weights
+    return cells.join(frequency, "word").select(
+        "profile", "key", "members", "word", "df", "holders", "weight"
+    )

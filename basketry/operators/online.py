@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.operators.lists import top_k
+from basketry.runtime import small_side
 
 
 def newest_per_user(ratings: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
@@ -46,18 +47,26 @@ def candidates(
     members: DataFrame | None,
     k: int,
     exclude_rated: bool,
+    users: int,
 ) -> DataFrame:
-    """``user_id, candidate, candidate_profile``: at most ``k`` per user."""
+    """``user_id, candidate, candidate_profile``: at most ``k`` per user.
+
+    ``users`` is the number of rows of ``current``. A micro-batch has few, so the large tables
+    are filtered where they lie instead of being shuffled.
+    """
     now = _profile_of(current, "product_id", "profile", members)
-    users = current.select("user_id")
-    own = rated.select("user_id", "product_id").join(users, "user_id", "left_semi").distinct()
+    own = rated.select("user_id", "product_id").join(
+        small_side(current.select("user_id"), users), "user_id", "left_semi"
+    ).distinct()
     # A user's rated products can push at most that many entries out of a list, plus the
     # product itself, so a list need not be read beyond this position.
     known = own.groupBy("user_id").agg(F.count(F.lit(1)).alias("known"))
     most = known.agg(F.max("known")).first()[0] or 0
     reach = k + 1 + (most if exclude_rated else 0)
 
-    asked = near.join(now.select("profile").distinct(), "profile", "left_semi")
+    asked = near.join(
+        small_side(now.select("profile").distinct(), users), "profile", "left_semi"
+    )
     if members is None:
         listed = asked.select("profile", "score", F.col("other").alias("candidate"), "other")
     else:
@@ -104,7 +113,8 @@ def online_recs(
     The mean is summed in decimals, so it does not depend on the order of the rows.
     """
     near = _near(sims, members)
-    chosen = candidates(current, near, rated, members, k, exclude_rated)
+    users = current.count()
+    chosen = candidates(current, near, rated, members, k, exclude_rated, users)
     history = _profile_of(
         recent.where(F.col("rank") <= n).select(
             "user_id", F.col("product_id").alias("rated"), F.col("score").alias("rating")
@@ -114,7 +124,10 @@ def online_recs(
     lookup = near.select(
         F.col("profile").alias("candidate_profile"), F.col("other").alias("rated_profile"),
         F.col("score").alias("sim"),
-    ).where(F.col("sim") > min_sim)
+    ).where(F.col("sim") > min_sim).join(
+        small_side(chosen.select("candidate_profile").distinct(), users * k),
+        "candidate_profile", "left_semi",
+    )
     terms = (
         chosen.join(history, "user_id").where(F.col("candidate") != F.col("rated"))
         .join(lookup, ["candidate_profile", "rated_profile"])

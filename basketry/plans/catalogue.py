@@ -109,31 +109,24 @@ def tfidf(spark: SparkSession, sf: str) -> DataFrame:
     return content.tfidf(retail.product(spark, sf)).withColumn("weight", F.round("weight", 6))
 
 
-def _pair_rows(pairs: DataFrame, profile: DataFrame) -> DataFrame:
-    """Profile pairs named by the smallest product id of each side."""
-    def side(key: str, out: str, copies: str) -> DataFrame:
-        return profile.select(
-            F.col("profile").alias(key), F.col("first_id").alias(out),
-            F.col("members").alias(copies),
-        )
-
-    named = pairs.join(side("a", "x", "nx"), "a").join(side("b", "y", "ny"), "b")
-    swap = F.col("x") > F.col("y")
-    return named.select(
-        F.least("x", "y").alias("product_id"), F.greatest("x", "y").alias("other_id"), "score",
-        F.when(swap, F.col("ny")).otherwise(F.col("nx")).alias("copies"),
-        F.when(swap, F.col("nx")).otherwise(F.col("ny")).alias("other_copies"),
+def _pair_rows(vectors: DataFrame) -> DataFrame:
+    """Profile pairs with the number of products on each side."""
+    a, b = (
+        vectors.select(F.col("profile").alias(side), F.col("members").alias(copies))
+        for side, copies in (("product_id", "copies"), ("other_id", "other_copies"))
     )
+    pairs = content.profile_pairs(vectors).select(
+        F.col("a").alias("product_id"), F.col("b").alias("other_id"), "score"
+    )
+    return pairs.join(a, "product_id").join(b, "other_id")
 
 
 def content_similarity(spark: SparkSession, sf: str) -> DataFrame:
-    profile = content.profiles(retail.product(spark, sf))
-    return _pair_rows(content.profile_pairs(content.term_weights(profile)), profile)
+    return _pair_rows(content.content_vectors(retail.product(spark, sf)))
 
 
 def content_similarity_hashed(spark: SparkSession, sf: str) -> DataFrame:
-    profile, weights = content.hashed_weights(retail.product(spark, sf))
-    return _pair_rows(content.profile_pairs(weights), profile)
+    return _pair_rows(content.unit_vectors(content.hashed_weights(retail.product(spark, sf)), 0.4))
 
 
 def content_topk(spark: SparkSession, sf: str) -> DataFrame:
@@ -142,11 +135,10 @@ def content_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 def content_near(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     product = retail.product(spark, sf)
-    profile = content.profiles(product)
-    weights = content.term_weights(profile)
-    near = content.profile_neighbours(content.profile_pairs(weights), profile, weights)
-    # Read several times below; it stands for the stored similarity table.
-    return content.profile_members(product), cut_lineage(near)
+    vectors = content.content_vectors(product)
+    near = content.profile_neighbours(content.profile_pairs(vectors), vectors)
+    # Read several times by the callers; it stands for the stored similarity table.
+    return content.profile_members(product, vectors), cut_lineage(near, "near")
 
 
 def similar_by_content(spark: SparkSession, sf: str) -> DataFrame:

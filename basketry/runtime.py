@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Rows of a few numbers each that may be broadcast: some tens of megabytes.
+BROADCAST_ROWS = 500_000
 
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -55,11 +59,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: later stages read files instead of recomputing ``df``."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, label: str = "step") -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    Later stages, and recomputation after a lost executor, start from the files. Unlike a
+    checkpoint the table is columnar, so its readers prune columns and know its size.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def small_side(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` as the broadcast side of a join when its known bound ``rows`` allows it; beyond
+    that Spark joins by shuffling."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df

@@ -5,7 +5,6 @@ from collections import Counter
 import pytest
 
 from basketry.operators import content
-from basketry.sources import retail
 from tests.conftest import rows
 
 
@@ -46,12 +45,11 @@ def brute(data, threshold=0.4):
 def test_profile_pairs_are_complete(spark, block, threshold):
     data = sample(1)
     product = spark.createDataFrame(data, "product_id long, tags string")
-    profile = content.profiles(product)
-    weights = content.term_weights(profile)
-    pairs = content.profile_pairs(weights, threshold, block)
+    vectors = content.content_vectors(product, threshold)
+    pairs = content.profile_pairs(vectors, threshold, block)
     assert pairs.count() == pairs.select("a", "b").distinct().count()
-    near = content.profile_neighbours(pairs, profile, weights)
-    got = content.content_neighbours(product, content.profile_members(product), near).collect()
+    near = content.profile_neighbours(pairs, vectors)
+    got = content.content_neighbours(product, content.profile_members(product, vectors), near).collect()
     want = brute(data, threshold)
     assert {(r[0], r[1]) for r in got} == set(want)
     for r in got:
@@ -74,17 +72,11 @@ def test_topk_equals_the_cut_of_the_whole_list(spark, k):
 
 def test_hashed_weights_match_ml_vectors(spark):
     product = spark.createDataFrame(sample(3), "product_id long, tags string")
-    profile, weights = content.hashed_weights(product, buckets=50)
-    assert profile.count() == content.profiles(product).count()
+    weights = content.hashed_weights(product, buckets=50)
     assert weights.where("weight <= 0").count() == 0
-    assert content.profile_pairs(weights).where("a >= b").count() == 0
+    assert content.profile_pairs(content.unit_vectors(weights, 0.4)).where("a >= b").count() == 0
 
 
 def test_empty(spark):
     product = spark.createDataFrame([], "product_id long, tags string")
     assert content.content_topk(product).count() == 0
-
-
-def test_products_of_the_test_tables(spark):
-    product = retail.product(spark, "/root/testdata/sf0.001")
-    assert product.count() == content.profile_members(product).count()

@@ -82,10 +82,9 @@ def test_profiles_equal_flat(spark):
     product = spark.createDataFrame(
         [(i, "|".join(rng.choice(["a", "b", "c", "d", "e"]) for _ in range(3))) for i in range(30)],
         "product_id long, tags string")
-    profile = content.profiles(product)
-    weights = content.term_weights(profile)
-    near = content.profile_neighbours(content.profile_pairs(weights), profile, weights)
-    members = content.profile_members(product)
+    vectors = content.content_vectors(product)
+    near = content.profile_neighbours(content.profile_pairs(vectors), vectors)
+    members = content.profile_members(product, vectors)
     flat = content.content_neighbours(product, members, near)
     data = history(3)
     frame, _, _ = setup(spark, data)
