@@ -89,6 +89,14 @@ def itemcf_topk(spark: SparkSession, sf: str) -> DataFrame:
     return itemcf.itemcf_topk(itemcf_pairs(spark, sf), TOP)
 
 
+def itemcf_recs(spark: SparkSession, sf: str) -> DataFrame:
+    """The list table, its ids as text; products without a partner keep an empty list."""
+    rating = retail.rating(spark, sf)
+    lists = itemcf.itemcf_recs(rating, itemcf.itemcf_topk(itemcf.itemcf_pairs(rating), TOP), TOP)
+    ids = F.transform("recs", lambda r: r["product_id"].cast("string"))
+    return lists.select("product_id", F.array_join(ids, ",").alias("ids"))
+
+
 def similar_by_itemcf(spark: SparkSession, sf: str) -> DataFrame:
     return serving.similar(
         itemcf_topk(spark, sf), _event_products(spark, sf), retail.product(spark, sf),
@@ -382,6 +390,7 @@ BATCH: dict[str, Query] = {
     for q in (
         most_rated_products, hot_products, rate_more, rate_more_recently, change_date_sql,
         average_score, product_info, search_products, itemcf_pairs, itemcf_topk,
+        itemcf_recs,
         similar_by_itemcf, factor_similarity, factor_topk, tfidf, content_similarity,
         content_similarity_hashed, content_topk, similar_by_content, als_user_recs,
         als_item_sim, als_item_topk, als_grid, als_best_setting, offline_recs, online_recs,

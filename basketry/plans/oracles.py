@@ -178,6 +178,11 @@ WHERE regexp_matches(name, 'widget|gear$')""",
 SELECT p1, p2, n, c1, c2, score FROM pairs""",
     "itemcf_topk": f"""WITH {_RATING}, {_ITEMCF_PAIRS}, {_ITEMCF_TOPK}
 SELECT product_id, rank, other_id, score FROM topk""",
+    "itemcf_recs": f"""WITH {_RATING}, {_ITEMCF_PAIRS}, {_ITEMCF_TOPK},
+listed AS (SELECT product_id, string_agg(other_id::VARCHAR, ',' ORDER BY rank) AS ids
+           FROM topk GROUP BY product_id)
+SELECT product_id, coalesce(ids, '') AS ids
+FROM (SELECT DISTINCT product_id FROM rating) LEFT JOIN listed USING (product_id)""",
     "similar_by_itemcf": f"""WITH {_TABLES}, {_ITEMCF_PAIRS}, {_ITEMCF_TOPK},
 {_BEHAVIOR}, {_EVENT_PRODUCTS},
 list AS (SELECT product_id AS asked_id, rank, other_id AS product_id, score

@@ -23,6 +23,8 @@ JOB_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Keeps large stream state out of the executor heap.
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
 }
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from basketry.functions.dates import duration_seconds
 from basketry.operators.events import hot_window_topn
 from basketry.sources.streams import start, with_event_time
 from basketry.sources.tables import write_batch
@@ -14,11 +15,23 @@ from basketry.sources.tables import write_batch
 def hot_item_counts(
     stream: DataFrame, size: str = "1 hour", slide: str = "5 minutes", delay: str = "0 seconds"
 ) -> DataFrame:
-    """``window_end, product_id, count``; in append mode a window comes out once, when closed."""
+    """``window_end, product_id, count``; in append mode a window comes out once, when closed.
+
+    Where the slide divides the window, events are counted per slide-long pane and panes are
+    added up, so an event touches one row of state and not one per window.
+    """
     timed = with_event_time(stream.select("ts", "product_id"), "ts", delay)
-    counted = timed.groupBy(F.window("ts", size, slide).alias("w"), "product_id").agg(
-        F.count(F.lit(1)).alias("count")
-    )
+    if duration_seconds(size) % duration_seconds(slide) == 0:
+        panes = timed.groupBy(F.window("ts", slide).alias("pane"), "product_id").agg(
+            F.count(F.lit(1)).alias("n")
+        )
+        counted = panes.groupBy(
+            F.window(F.window_time("pane"), size, slide).alias("w"), "product_id"
+        ).agg(F.sum("n").alias("count"))
+    else:
+        counted = timed.groupBy(F.window("ts", size, slide).alias("w"), "product_id").agg(
+            F.count(F.lit(1)).alias("count")
+        )
     return counted.select(F.col("w.end").alias("window_end"), "product_id", "count")
 
 

@@ -76,6 +76,10 @@ def test_serving(spark):
     got = serving.most_rated_products(counts, product, avg, 2)
     assert rows(got, "rank", "product_id", "avg") == [(1, 2, 0.0), (2, 1, 4.5)]
     assert rows(serving.search_products(product, avg, "e [23]$"), "product_id") == [(2,), (3,)]
+    named = product.withColumn("name", F.lit("鼠标 x"))
+    misread = "鼠标".encode().decode("latin-1")
+    assert serving.search_products(named, avg, misread).count() == 0
+    assert serving.search_products(named, avg, misread, misread=True).count() == 3
     ids = spark.createDataFrame([(1,), (1,), (9,)], "product_id long")
     assert rows(serving.product_info(product, avg, ids), "product_id", "avg") == [(1, 4.5)]
 
@@ -93,4 +97,3 @@ def test_rank_plans_cut_before_the_shuffle(spark):
     frame = spark.createDataFrame([(1, 1, 1.0, at(0))], RATING)
     plan = ratings.recent_ratings(frame)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
-    assert F is not None
