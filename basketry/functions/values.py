@@ -2,6 +2,7 @@
 
 # Fixed values.
 RATING_PREFIX = "PRODUCT_RATING_PREFIX"
+RELAY_KEY = "logProcessor"
 LOGIN_WARNING = "该用户在短时间内连续登录失败，怀疑有恶意登录"
 RECENT_QUEUE_SIZE = 40
 MAX_INT_ID = 2147483647

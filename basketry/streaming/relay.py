@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from basketry.functions.text import extract_rating_payload
-from basketry.functions.values import RATING_PREFIX
+from basketry.functions.values import RATING_PREFIX, RELAY_KEY
 from basketry.sources.streams import start, to_kafka
 
 
 def relay_ratings(lines: DataFrame, prefix: str = RATING_PREFIX) -> DataFrame:
     """``key, value`` messages for the log lines that carry a rating."""
     return lines.select(
-        F.lit("logProcessor").alias("key"),
+        F.lit(RELAY_KEY).alias("key"),
         extract_rating_payload(F.col("value"), prefix).alias("value"),
     ).where(F.col("value").isNotNull())
 

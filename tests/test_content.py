@@ -2,8 +2,12 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.ml.feature import IDF, HashingTF
+from pyspark.sql import functions as F
 
+from basketry.functions.text import tag_words
 from basketry.operators import content
 from tests.conftest import rows
 
@@ -70,11 +74,27 @@ def test_topk_equals_the_cut_of_the_whole_list(spark, k):
     assert got == sorted(want)
 
 
-def test_hashed_weights_match_ml_vectors(spark):
-    product = spark.createDataFrame(sample(3), "product_id long, tags string")
-    weights = content.hashed_weights(product, buckets=50)
-    assert weights.where("weight <= 0").count() == 0
-    assert content.profile_pairs(content.unit_vectors(weights, 0.4)).where("a >= b").count() == 0
+@pytest.mark.parametrize("block", [1024, 3])
+def test_hashed_pairs_equal_all_ml_vectors(spark, block):
+    data = sample(3)
+    product = spark.createDataFrame(data, "product_id long, tags string")
+    words = product.select("product_id", tag_words(F.col("tags")).alias("words"))
+    counted = HashingTF(numFeatures=50, inputCol="words", outputCol="tf").transform(words)
+    scaled = IDF(inputCol="tf", outputCol="f").fit(counted).transform(counted)
+    vec = {r["product_id"]: r["f"].toArray() for r in scaled.collect()}
+    want = {}
+    for a, x in vec.items():
+        for b, y in vec.items():
+            norm = np.linalg.norm(x) * np.linalg.norm(y)
+            if a != b and norm and round(float(x @ y / norm), 6) > 0.4:
+                want[a, b] = float(x @ y / norm)
+    vectors = content.unit_vectors(content.hashed_weights(product, buckets=50), 0.4)
+    near = content.profile_neighbours(content.profile_pairs(vectors, 0.4, block), vectors)
+    got = content.content_neighbours(
+        product, content.profile_members(product, vectors), near).collect()
+    assert {(r[0], r[1]) for r in got} == set(want)
+    for r in got:
+        assert r["score"] == pytest.approx(want[r[0], r[1]], abs=2e-6)
 
 
 def test_empty(spark):
