@@ -296,7 +296,8 @@ def profile_neighbours(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
 
 
 def content_topk(
-    product: DataFrame, k: int = 20, threshold: float = 0.4, posting_block: int = POSTING_BLOCK
+    product: DataFrame, k: int = 20, threshold: float = 0.4, posting_block: int = POSTING_BLOCK,
+    vectors: DataFrame | None = None,
 ) -> DataFrame:
     """``product_id, rank, other_id, score``: the ``k`` most similar products, ties by id.
 
@@ -304,7 +305,7 @@ def content_topk(
     first ``k + 1`` profiles (by score, then smallest member), and of each only its ``k + 1``
     smallest ids, can reach a list.
     """
-    vectors = content_vectors(product, threshold)
+    vectors = content_vectors(product, threshold) if vectors is None else vectors
     members = profile_members(product, vectors)
     found = profile_pairs(vectors, threshold, posting_block, best=k + 1).select(
         F.col("a").alias("profile"), F.col("b").alias("other"), "score"

@@ -2,7 +2,6 @@ import os
 import sys
 
 import pytest
-from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -35,6 +34,3 @@ def ts(text):
     import datetime
 
     return datetime.datetime.fromisoformat(text)
-
-
-__all__ = ["rows", "ts", "SparkSession"]
