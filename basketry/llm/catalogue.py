@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import tokens
+from basketry.llm import bpe, decontamination, tokens
 
-_QUERIES = (tokens.op1_token_files,)
+_QUERIES = (
+    tokens.op1_token_files,
+    decontamination.op4_contamination,
+    bpe.op9_byte_bpe,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
