@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import bpe, decontamination, tokens
+from basketry.llm import bpe, decontamination, shingles, tokens
 
 _QUERIES = (
     tokens.op1_token_files,
     decontamination.op4_contamination,
+    shingles.op7_near_documents,
     bpe.op9_byte_bpe,
 )
 
