@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import bpe, decontamination, shingles, tokens
+from basketry.llm import bpe, decontamination, lines, shingles, tokens
 
 _QUERIES = (
     tokens.op1_token_files,
     decontamination.op4_contamination,
     shingles.op7_near_documents,
     bpe.op9_byte_bpe,
+    lines.op10_repeated_lines,
 )
 
 
