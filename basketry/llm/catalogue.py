@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import bpe, decontamination, languages, lines, shingles, tokens
+from basketry.llm import bpe, decontamination, languages, lines, secrets, shingles, tokens
 
 _QUERIES = (
     tokens.op1_token_files,
     decontamination.op4_contamination,
     languages.op5_languages,
     shingles.op7_near_documents,
+    secrets.op8_secrets,
     bpe.op9_byte_bpe,
     lines.op10_repeated_lines,
 )
