@@ -6,13 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import bpe, decontamination, languages, lines, secrets, sharding, shingles, tokens
+from basketry.llm import (
+    bpe,
+    decontamination,
+    fingerprints,
+    languages,
+    lines,
+    secrets,
+    sharding,
+    shingles,
+    tokens,
+)
 
 _QUERIES = (
     tokens.op1_token_files,
     sharding.op2_shards,
     decontamination.op4_contamination,
     languages.op5_languages,
+    fingerprints.op6_fingerprints,
     shingles.op7_near_documents,
     secrets.op8_secrets,
     bpe.op9_byte_bpe,
