@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from basketry.llm import (
     bpe,
     decontamination,
     fingerprints,
     languages,
     lines,
+    pii,
     secrets,
     sharding,
     shingles,
@@ -21,6 +23,7 @@ from basketry.llm import (
 _QUERIES = (
     tokens.op1_token_files,
     sharding.op2_shards,
+    pii.op3_personal_data,
     decontamination.op4_contamination,
     languages.op5_languages,
     fingerprints.op6_fingerprints,
@@ -32,8 +35,9 @@ _QUERIES = (
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in _QUERIES}
+    return {"pipeline": corpus_pipeline.run, **{q.__name__: q for q in _QUERIES}}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL can't express these whole: tokenizers, trees, suffix and hash searches, mixtures."""
+    return {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
