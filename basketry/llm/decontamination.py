@@ -54,7 +54,7 @@ class Suffixes:
 
     @staticmethod
     def of(items: pd.DataFrame, window: int) -> Suffixes:
-        raw, offsets = texts.utf8(pa.array(items["text"], pa.string()))
+        raw, offsets = texts.utf8(pa.array(items["text"].tolist(), pa.string()))
         found = texts.words(raw, offsets)
         length = np.repeat(found.counts, found.counts)
         place = np.arange(len(found.hashes)) - np.repeat(found.offsets[:-1], found.counts)
@@ -62,7 +62,7 @@ class Suffixes:
         return Suffixes(
             found.hashes, starts, np.minimum(window, length[starts]),
             (length - place)[starts], found.text_of[starts], place[starts],
-            ["" if x is None or x != x else str(x) for x in items["item_id"].tolist()],
+            items["item_id"].tolist(),
         )
 
 
@@ -145,7 +145,7 @@ def _spans(places: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return begin[new], end[np.append(np.flatnonzero(new)[1:] - 1, len(end) - 1)]
 
 
-def _search_shard(raw, offsets, rows: np.ndarray, wanted: Suffixes, window: int) -> pa.RecordBatch:
+def _search_shard(raw, offsets, rows: pa.Array, wanted: Suffixes, window: int) -> pa.RecordBatch:
     found = texts.words(raw, offsets)
     shard = SuffixArray(found, window)
     which, low, high = shard.search(wanted)
@@ -191,7 +191,7 @@ def _search_shard(raw, offsets, rows: np.ndarray, wanted: Suffixes, window: int)
             ("n_words", pa.int32())]))),
     ])
     return pa.record_batch([
-        pa.array(rows, pa.int64()), pa.array(found.counts, pa.int64()),
+        rows, pa.array(found.counts, pa.int64()),
         pa.array(spans, schema.field("spans").type),
         pa.array([sorted(set(i)) for i in items], schema.field("items").type),
         pa.array(longest, schema.field("longest").type),
@@ -200,7 +200,9 @@ def _search_shard(raw, offsets, rows: np.ndarray, wanted: Suffixes, window: int)
 
 def _blocks(benchmark: DataFrame, limit: int) -> tuple[DataFrame, int]:
     """The items with their ``block``, and the number of blocks of about ``limit`` bytes."""
-    items = benchmark.select("item_id", F.col("text").cast("string")).where("text is not null")
+    items = benchmark.select(
+        F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"),
+        F.col("text").cast("string")).where("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = math.ceil(size / limit) or 1
     return items.withColumn("block", F.pmod(F.xxhash64("text"), F.lit(n))), n
@@ -222,7 +224,7 @@ def matches(
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in texts.slices(batches, "text"):
                 raw, offsets = texts.utf8(part[1])
-                yield _search_shard(raw, offsets, part[0].to_numpy(), shared.value, window)
+                yield _search_shard(raw, offsets, part[0], shared.value, window)
 
         return rows.mapInArrow(run, _HITS)
 
@@ -271,9 +273,8 @@ def remove_contaminated(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW
 ) -> DataFrame:
     """``docs`` with all their columns, without the rows whose text is contaminated."""
-    bad = judge(matches(docs, benchmark, window)).where("contaminated").select(
-        F.col("doc_id").alias("_bad_doc_id")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long") == bad["_bad_doc_id"], "left_anti")
+    bad = judge(matches(docs, benchmark, window)).where("contaminated")
+    return texts.without(docs, bad.select("doc_id"))
 
 
 def op4_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:

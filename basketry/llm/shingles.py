@@ -31,7 +31,7 @@ from basketry.llm.components import components
 from basketry.llm.texts import write_step
 from basketry.runtime import shuffle_width
 
-WORDS, SIMILARITY, RECALL = 5, 0.8, 0.999
+WORDS, SIMILARITY, RECALL = 5, 0.8, 0.9999
 TREES, LONGEST_PREFIX = 24, 8
 #: Documents of a piece of a bucket.
 PIECE = 512
@@ -315,8 +315,7 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with all their columns and one row of each class: the smallest doc_id. Rows
     without shingles, and rows without a doc_id, stay."""
     found = near_duplicates(docs.where("doc_id is not null"), **options)
-    drop = found.where("class_id <> doc_id").select(F.col("doc_id").alias("_drop_id")).distinct()
-    return docs.join(drop, docs["doc_id"].cast("long") == drop["_drop_id"], "left_anti")
+    return texts.without(docs, found.where("class_id <> doc_id").select("doc_id"))
 
 
 def op7_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

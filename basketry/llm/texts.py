@@ -6,12 +6,14 @@ Words follow one rule everywhere: ``A-Z`` are lower-cased, and a word is a run o
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from basketry.runtime import scratch_path
 
@@ -40,6 +42,19 @@ def write_step(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(name: str) -> str:
+    """A column name that no table has."""
+    return f"{name}_{uuid.uuid4().hex}"
+
+
+def without(docs: DataFrame, doc_ids: DataFrame) -> DataFrame:
+    """``docs`` with all their columns, without the rows whose doc_id is in the only column of
+    ``doc_ids``. Rows without a doc_id stay."""
+    name = fresh("gone")
+    gone = doc_ids.toDF(name).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col(name), "left_anti")
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts and the ``n + 1`` offsets of the texts in them; null is empty."""
     column = column.cast(pa.large_binary()).fill_null(b"")
