@@ -12,6 +12,13 @@ BATCH_JOBS = {
     "offline": jobs.offline_job,
     "content": jobs.content_job,
     "itemcf": jobs.itemcf_job,
+    "lockouts": jobs.lockout_job,
+}
+#: Jobs that store the rows of a Parquet folder given with ``--requests``.
+REQUEST_JOBS = {
+    "submit": jobs.submit_job,
+    "register": jobs.register_job,
+    "preferences": jobs.preferences_job,
 }
 STREAM_JOBS = {
     "hot-items": jobs.hot_items_stream,
@@ -31,6 +38,10 @@ def main(argv: list[str] | None = None) -> None:
     load.add_argument("--base", required=True)
     for name, job in BATCH_JOBS.items():
         sub.add_parser(name, help=job.__doc__).add_argument("--base", required=True)
+    for name, job in REQUEST_JOBS.items():
+        stored = sub.add_parser(name, help=job.__doc__)
+        stored.add_argument("--base", required=True)
+        stored.add_argument("--requests", required=True, help="Parquet folder of request rows")
     grid = sub.add_parser("als-grid", help=jobs.search_parameters_job.__doc__)
     grid.add_argument("--base", required=True)
     for name, job in STREAM_JOBS.items():
@@ -49,6 +60,8 @@ def main(argv: list[str] | None = None) -> None:
         jobs.search_parameters_job(spark, args.base).show()
     elif args.job in BATCH_JOBS:
         BATCH_JOBS[args.job](spark, args.base)
+    elif args.job in REQUEST_JOBS:
+        REQUEST_JOBS[args.job](spark, args.base, spark.read.parquet(args.requests))
     else:
         options = dict(o.split("=", 1) for o in args.option)
         if args.job == "relay":

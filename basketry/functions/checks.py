@@ -17,8 +17,12 @@ def try_double(col: Column) -> Column:
 
 
 def valid_id(col: Column) -> Column:
-    """True for a numeric id strictly below the largest 32-bit integer."""
-    return F.coalesce(col.try_cast("double") < F.lit(float(MAX_INT_ID)), F.lit(False))
+    """True for a numeric id that is a 32-bit integer strictly below the largest one."""
+    number = col.try_cast("double")
+    return F.coalesce(
+        (number < F.lit(float(MAX_INT_ID))) & (number >= F.lit(-float(MAX_INT_ID) - 1)),
+        F.lit(False),
+    )
 
 
 def half_score(score: Column) -> Column:

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.text import tag_words
+from basketry.operators.dense import settled
 from basketry.operators.lists import top_k
 from basketry.runtime import cut_lineage, shuffle_width
 
@@ -184,17 +185,17 @@ def _products(left: list, right: list, values: tuple | None) -> np.ndarray:
 
 
 def _similar(
-    left: _Rows, right: _Rows, same: bool, threshold: float, digits: int, best: int | None
+    left: _Rows, right: _Rows, same: bool, threshold: float, best: int | None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs above the threshold that share no earlier indexed word: a, b, score.
 
     Each pair comes once with a < b, or, with ``best``, once per direction and only the
     ``best`` rows of each a.
     """
-    score = np.round(_products(left.codes, right.codes, (left.values, right.values)), digits)
+    score = settled(_products(left.codes, right.codes, (left.values, right.values)))
     if same:
         score = np.triu(score, 1)
-    row, col = np.nonzero(score > threshold)
+    row, col = np.nonzero(score > settled(threshold))
     first = _products(left.earlier, right.earlier, None)[row, col] == 0
     row, col = row[first], col[first]
     a, b, score = left.profile[row], right.profile[col], score[row, col]
@@ -216,7 +217,7 @@ def _joined(parts: list) -> pd.DataFrame:
 
 def profile_pairs(
     vectors: DataFrame, threshold: float = 0.4, posting_block: int = POSTING_BLOCK,
-    digits: int = 6, best: int | None = None,
+    best: int | None = None,
 ) -> DataFrame:
     """``a, b, score`` for profiles ``a < b`` whose cosine exceeds ``threshold`` (> 0), which
     must not be lower than the one the vectors were indexed for.
@@ -238,7 +239,7 @@ def profile_pairs(
         for start, stop in zip(edges, [*edges[1:], len(rows)], strict=True):
             if stop - start > 1:
                 part = coded.part(start, stop)
-                out.append(_similar(part, part, True, threshold, digits, best))
+                out.append(_similar(part, part, True, threshold, best))
         return _joined(out)
 
     def between_blocks(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -247,7 +248,7 @@ def profile_pairs(
         right = right.rename(columns=lambda c: c.removesuffix("_r"))
         same = left["i"].iloc[0] == left["j"].iloc[0]
         x, y = _encode(left.sort_values("profile"), right.sort_values("profile"))
-        return _joined([_similar(x, y, same, threshold, digits, best)])
+        return _joined([_similar(x, y, same, threshold, best)])
 
     # Words that fit one block: many of them per task.
     short = entries.where(F.col("blocks") == 1)
@@ -359,9 +360,13 @@ def hashed_weights(product: DataFrame, buckets: int = 500) -> DataFrame:
         F.count(F.lit(1)).alias("members"), F.min("product_id").alias("profile"),
         F.first(vector_to_array("features")).alias("features"),
     )
-    cells = grouped.select(
-        "profile", "key", "members", F.posexplode("features").alias("bucket", "weight")
-    ).where(F.col("weight") > 0).withColumn("word", F.col("bucket").cast("string"))
+    # Only the cells that hold something become rows.
+    held = F.filter(
+        F.transform("features", lambda w, k: F.struct(k.alias("bucket"), w.alias("weight"))),
+        lambda cell: cell["weight"] > 0)
+    cells = grouped.select("profile", "key", "members", F.explode(held).alias("cell")).select(
+        "profile", "key", "members", F.col("cell.bucket").cast("string").alias("word"),
+        F.col("cell.weight").alias("weight"))
     frequency = cells.groupBy("word").agg(
         F.sum("members").alias("df"), F.count(F.lit(1)).alias("holders")
     )

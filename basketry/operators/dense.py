@@ -61,22 +61,34 @@ def _unpack(row: pd.Series) -> tuple[np.ndarray, np.ndarray]:
 
 def _multiply(left: DataFrame, right: DataFrame, tasks: int, kernel, schema: str) -> DataFrame:
     """Run ``kernel`` on every (i, j) pair of blocks present on both sides."""
-    right = right.withColumnRenamed("block", "other_block")
+    # Own names on the right: both sides may come from the same rows.
+    right = right.toDF(*[f"{c}_r" for c in right.columns])
     # A fixed width: these rows are few and heavy, so merging partitions by size is wrong.
     width = min(tasks, max(shuffle_width(left.sparkSession),
                            left.sparkSession.sparkContext.defaultParallelism))
     a = left.repartition(width, "i", "j").groupBy("i", "j")
-    b = right.repartition(width, "i", "j").groupBy("i", "j")
-    return a.cogroup(b).applyInPandas(kernel, schema)
+    b = right.repartition(width, "i_r", "j_r").groupBy("i_r", "j_r")
 
+    def named(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        return kernel(x, y.rename(columns=lambda c: c.removesuffix("_r")))
 
-def _stripes(a: np.ndarray, b: np.ndarray, digits: int):
+    return a.cogroup(b).applyInPandas(named, schema)
+
+
+def settled(score: np.ndarray) -> np.ndarray:
+    """Scores to 40 significant bits, so that neither a tie nor a threshold depends on the
+    order in which a product was summed."""
+    part, exponent = np.frexp(score)
+    return np.ldexp(np.rint(np.ldexp(part, 40)), exponent - 40)
+
+
+def _stripes(a: np.ndarray, b: np.ndarray):
     for start in range(0, len(a), _STRIPE):
-        yield start, np.round(a[start:start + _STRIPE] @ b.T, digits)
+        yield start, settled(a[start:start + _STRIPE] @ b.T)
 
 
 def cosine_pairs(
-    vectors: DataFrame, threshold: float = 0.4, block_rows: int = BLOCK_ROWS, digits: int = 6
+    vectors: DataFrame, threshold: float = 0.4, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """``a, b, score`` for every unordered pair ``a < b`` of ``id, vector`` rows whose cosine
     exceeds ``threshold``. Zero vectors are similar to nothing."""
@@ -95,8 +107,8 @@ def cosine_pairs(
             ids_a, a = _unpack(x.iloc[0])
             ids_b, b = _unpack(y.iloc[0])
             same = x["i"].iloc[0] == x["j"].iloc[0]
-            for start, score in _stripes(a, b, digits):
-                row, col = np.nonzero(score > threshold)
+            for start, score in _stripes(a, b):
+                row, col = np.nonzero(score > settled(threshold))
                 first, second = ids_a[row + start], ids_b[col]
                 keep = first < second if same else slice(None)
                 out.append(pd.DataFrame({
@@ -117,7 +129,6 @@ def best_scores(
     unit: bool = False,
     skip_same: bool = False,
     block_rows: int = BLOCK_ROWS,
-    digits: int = 6,
 ) -> DataFrame:
     """``id, rank, other_id, score``: per left row the ``k`` right rows with the highest dot
     product (cosine if ``unit``) above ``above``; equal scores go by id."""
@@ -135,13 +146,13 @@ def best_scores(
         if len(x) and len(y):
             ids_a, m = _unpack(x.iloc[0])
             ids_b, n = _unpack(y.iloc[0])
-            for start, score in _stripes(m, n, digits):
+            for start, score in _stripes(m, n):
                 if skip_same:
                     score[ids_a[start:start + _STRIPE, None] == ids_b[None, :]] = -np.inf
                 floor = np.full(len(score), -np.inf)
                 if score.shape[1] > k:
                     floor = np.partition(score, -k, axis=1)[:, -k]
-                row, col = np.nonzero((score >= floor[:, None]) & (score > above))
+                row, col = np.nonzero((score >= floor[:, None]) & (score > settled(above)))
                 value, other = score[row, col], ids_b[col]
                 order = np.lexsort((other, -value, row))
                 row, value, other = row[order], value[order], other[order]

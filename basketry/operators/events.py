@@ -174,8 +174,10 @@ def lockout_until(alerts: DataFrame, minutes: int = 30) -> DataFrame:
 def apply_lockouts(user: DataFrame, lockouts: DataFrame) -> DataFrame:
     """Users with the later of their present and their new lockout."""
     new = lockouts.select(
-        F.col("user_id").cast("int").alias("user_id"), F.col("no_login_until").alias("new_until")
+        F.col("user_id").alias("locked_id"), F.col("no_login_until").alias("new_until")
     )
-    return user.join(new, "user_id", "left").withColumn(
+    # Compared as longs: ids in event logs go beyond 32 bits.
+    same = F.col("user_id").cast("long") == F.col("locked_id").cast("long")
+    return user.join(new, same, "left").withColumn(
         "no_login_until", F.greatest("no_login_until", "new_until")
     ).select(*user.columns)

@@ -20,10 +20,14 @@ def top_k(df: DataFrame, key: str | Sequence[str], order: Sequence[Column], k: i
 
 
 def to_rec_list(
-    flat: DataFrame, key: str, item: str, score: str, k: int, item_name: str = "product_id"
+    flat: DataFrame, key: str, item: str, score: str, k: int | None, item_name: str = "product_id"
 ) -> DataFrame:
-    """``key, recs`` with the ``k`` best (item, score) pairs, best first."""
-    best = top_k(flat, key, [F.desc(score), F.asc(item)], k)
+    """``key, recs`` with the ``k`` best (item, score) pairs, best first; ``None``: all."""
+    order = [F.desc(score), F.asc(item)]
+    if k is None:
+        best = flat.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    else:
+        best = top_k(flat, key, order, k)
     pair = F.struct(
         F.col("rank"), F.col(item).alias(item_name), F.col(score).cast("double").alias("score")
     )

@@ -105,12 +105,29 @@ def similar_by_itemcf(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def factor_similarity(spark: SparkSession, sf: str) -> DataFrame:
-    return dense.cosine_pairs(retail.vectors(spark, sf), 0.4)
+    return _six(dense.cosine_pairs(retail.vectors(spark, sf), 0.4))
 
 
 def factor_topk(spark: SparkSession, sf: str) -> DataFrame:
     vectors = retail.vectors(spark, sf)
-    return dense.best_scores(vectors, vectors, 10, above=0.2, unit=True, skip_same=True)
+    return _six(dense.best_scores(vectors, vectors, 10, above=0.2, unit=True, skip_same=True))
+
+
+def factor_user_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """The best products of each user from given factors whose scores are tiny: vectors of the
+    even labels are the users, of the odd ones the products, all scaled by a thousandth."""
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet").select(
+        F.col("vec_id").alias("id"), "label",
+        F.transform("embedding", lambda x: x.cast("double") / 1000).alias("vector"))
+    users, items = (rows.where(F.col("label") % 2 == k).drop("label") for k in (0, 1))
+    return dense.best_scores(users, items, TOP, above=0.0).select(
+        F.col("id").alias("user_id"), "rank", F.col("other_id").alias("product_id"),
+        F.round(F.col("score") * 1e6, 6).alias("score"))
+
+
+def _six(df: DataFrame) -> DataFrame:
+    """Scores as shown: ranks and thresholds have used them unrounded."""
+    return df.withColumn("score", F.round("score", 6))
 
 
 def tfidf(spark: SparkSession, sf: str) -> DataFrame:
@@ -126,7 +143,7 @@ def _pair_rows(vectors: DataFrame) -> DataFrame:
     pairs = content.profile_pairs(vectors).select(
         F.col("a").alias("product_id"), F.col("b").alias("other_id"), "score"
     )
-    return pairs.join(a, "product_id").join(b, "other_id")
+    return _six(pairs.join(a, "product_id").join(b, "other_id"))
 
 
 def content_similarity(spark: SparkSession, sf: str) -> DataFrame:
@@ -138,7 +155,7 @@ def content_similarity_hashed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def content_topk(spark: SparkSession, sf: str) -> DataFrame:
-    return content.content_topk(retail.product(spark, sf), TOP)
+    return _six(content.content_topk(retail.product(spark, sf), TOP))
 
 
 def content_near(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -151,10 +168,10 @@ def content_near(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 def similar_by_content(spark: SparkSession, sf: str) -> DataFrame:
     members, near = content_near(spark, sf)
-    return serving.similar_by_content(
+    return _six(serving.similar_by_content(
         _event_products(spark, sf), members, near, retail.product(spark, sf),
         average_score(spark, sf),
-    )
+    ))
 
 
 # --- matrix factorisation ----------------------------------------------------------------
@@ -391,7 +408,7 @@ BATCH: dict[str, Query] = {
         most_rated_products, hot_products, rate_more, rate_more_recently, change_date_sql,
         average_score, product_info, search_products, itemcf_pairs, itemcf_topk,
         itemcf_recs,
-        similar_by_itemcf, factor_similarity, factor_topk, tfidf, content_similarity,
+        similar_by_itemcf, factor_similarity, factor_topk, factor_user_topk, tfidf, content_similarity,
         content_similarity_hashed, content_topk, similar_by_content, als_user_recs,
         als_item_sim, als_item_topk, als_grid, als_best_setting, offline_recs, online_recs,
         stream_list_served, hot_window_counts, hot_window_topn, hot_window_report, uv_hourly,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions import dates, text
 from basketry.plans import catalogue
-from basketry.runtime import scratch_path
+from basketry.runtime import ROCKSDB_PROVIDER, scratch_path
 from basketry.sources import files, retail, tables
 from basketry.streaming import hot_items, logins, recommend, relay, visitors
 
@@ -21,6 +21,8 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
 
 def _run(spark: SparkSession, label: str, begin: Callable) -> str:
     """Start a stream with a fresh output folder, wait for its end, return the folder."""
+    # Sessions that ``build_session`` made have it already.
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     base = scratch_path(spark, label)
     begin(f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return f"{base}/out"

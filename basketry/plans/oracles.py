@@ -67,9 +67,9 @@ inner_product AS (
   FROM weight a JOIN weight b ON a.word = b.word AND a.product_id <> b.product_id
   GROUP BY 1, 2),
 content AS (
-  SELECT a AS product_id, b AS other_id, round(dot / nullif(x.norm * y.norm, 0), 6) AS score
+  SELECT a AS product_id, b AS other_id, round(dot / nullif(x.norm * y.norm, 0), 12) AS score
   FROM inner_product JOIN norm x ON x.product_id = a JOIN norm y ON y.product_id = b
-  WHERE round(dot / nullif(x.norm * y.norm, 0), 6) > 0.4)"""
+  WHERE round(dot / nullif(x.norm * y.norm, 0), 12) > 0.4)"""
 
 _EVENT_PRODUCTS = "asked AS (SELECT DISTINCT product_id FROM behavior)"
 
@@ -194,34 +194,45 @@ SELECT product_id, asked_id, rank, score, {_PRODUCT_COLUMNS} FROM list {_PRODUCT
          nullif(sqrt(list_dot_product(a.embedding::DOUBLE[], a.embedding::DOUBLE[])) *
                 sqrt(list_dot_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[])), 0) AS score
   FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id)
-SELECT a, b, round(score, 6) AS score FROM pair WHERE round(score, 6) > 0.4""",
+SELECT a, b, round(score, 6) AS score FROM pair WHERE round(score, 12) > 0.4""",
     "factor_topk": """WITH pair AS (
   SELECT a.vec_id AS id, b.vec_id AS other_id, round(
          list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) /
          nullif(sqrt(list_dot_product(a.embedding::DOUBLE[], a.embedding::DOUBLE[])) *
-                sqrt(list_dot_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[])), 0), 6) AS score
+                sqrt(list_dot_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[])), 0), 12) AS score
   FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id)
 SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
-       other_id, score
+       other_id, round(score, 6) AS score
 FROM pair WHERE score > 0.2 QUALIFY rank <= 10""",
+    "factor_user_topk": """WITH factor AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE / 1000) AS v FROM embeddings),
+pair AS (
+  SELECT a.vec_id AS user_id, b.vec_id AS product_id, list_dot_product(a.v, b.v) AS score
+  FROM factor a JOIN factor b ON a.label % 2 = 0 AND b.label % 2 = 1)
+SELECT user_id, product_id, round(score * 1e6, 6) AS score, CAST(row_number() OVER (
+         PARTITION BY user_id ORDER BY round(score, 18) DESC, product_id) AS INTEGER) AS rank
+FROM pair WHERE score > 0 QUALIFY rank <= 20""",
     "tfidf": f"""WITH {_PRODUCT}, {_WEIGHTS}
 SELECT product_id, word, tf, round(weight, 6) AS weight FROM weight""",
     "content_similarity": f"""WITH {_PRODUCT}, {_WEIGHTS}, {_CONTENT},
 copies AS (
   SELECT min(product_id) AS product_id, count(*) AS copies
   FROM product GROUP BY list_sort(string_split(lower(tags), '|')))
-SELECT content.product_id, other_id, score, x.copies, y.copies AS other_copies
+SELECT content.product_id, other_id, round(score, 6) AS score, x.copies, y.copies AS other_copies
 FROM content JOIN copies x ON x.product_id = content.product_id
 JOIN copies y ON y.product_id = other_id
 WHERE content.product_id < other_id""",
     "content_topk": f"""WITH {_PRODUCT}, {_WEIGHTS}, {_CONTENT}
 SELECT product_id, CAST(row_number() OVER (
-         PARTITION BY product_id ORDER BY score DESC, other_id) AS INTEGER) AS rank, other_id, score
+         PARTITION BY product_id ORDER BY content.score DESC, other_id) AS INTEGER) AS rank,
+       other_id, round(content.score, 6) AS score
 FROM content QUALIFY rank <= 20""",
     "similar_by_content": f"""WITH {_TABLES}, {_WEIGHTS}, {_CONTENT}, {_BEHAVIOR}, {_EVENT_PRODUCTS},
-list AS (SELECT product_id AS asked_id, other_id AS product_id, score
+list AS (SELECT product_id AS asked_id, other_id AS product_id, round(content.score, 6) AS score,
+                CAST(row_number() OVER (
+                  PARTITION BY product_id ORDER BY content.score DESC, other_id) AS INTEGER) AS rank
          FROM content WHERE product_id IN (SELECT product_id FROM asked))
-SELECT product_id, asked_id, score, {_PRODUCT_COLUMNS} FROM list {_PRODUCT_JOINS}""",
+SELECT product_id, asked_id, rank, score, {_PRODUCT_COLUMNS} FROM list {_PRODUCT_JOINS}""",
     "online_recs": f"""WITH {_RATING}, {_PRODUCT}, {_WEIGHTS}, {_CONTENT}, {_BEHAVIOR}, {_EVENT_RATING},
 {_ONLINE}
 SELECT user_id, rank, product_id, score FROM online""",

@@ -11,7 +11,6 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from basketry.functions.dates import duration_seconds
 from basketry.operators.events import alert_rows, lockout_until
-from basketry.runtime import ROCKSDB_PROVIDER
 from basketry.sources.streams import start, with_event_time
 from basketry.sources.tables import write_batch
 
@@ -85,7 +84,6 @@ def login_alerts_stream(
     stream: DataFrame, within: str = "2 minutes", tie: str = "event_id", delay: str = "0 seconds"
 ) -> DataFrame:
     """Streaming form of ``login_alerts``: ``user_id, ts, time, message``."""
-    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     timed = with_event_time(stream, "ts", delay).select(
         "user_id", "ts", F.unix_micros("ts").alias("micros"), F.col(tie).alias("tie"),
         (F.col("event_type") == "fail").alias("failed"),

@@ -12,7 +12,6 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from basketry.functions.values import RECENT_QUEUE_SIZE
 from basketry.operators.lists import to_rec_list
 from basketry.operators.online import online_recs
-from basketry.runtime import ROCKSDB_PROVIDER
 from basketry.sources.streams import start
 from basketry.sources.tables import write_batch
 
@@ -54,7 +53,6 @@ def recent_ratings_stream(
     stream: DataFrame, n: int = RECENT_QUEUE_SIZE, tie: str = "event_id"
 ) -> DataFrame:
     """``user_id, queue``: a user's last ``n`` ratings, newest first, after each batch."""
-    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     rows = stream.select(
         "user_id", F.unix_micros("ts").alias("micros"), F.col(tie).alias("tie"), "product_id",
         F.col("score").cast("double").alias("score"),
@@ -114,8 +112,13 @@ def start_online_recs(
         current = queues.select(
             "user_id", F.col("queue")[0]["product_id"].alias("product_id")
         )
+        recent = queue_rows(queues)
+        # What was just rated may not be stored yet.
+        known = rated().select("user_id", "product_id").unionByName(
+            recent.select("user_id", "product_id")
+        )
         found = online_recs(
-            current, queue_rows(queues), sims(), rated(), members and members(), n, k, **scoring
+            current, recent, sims(), known, members and members(), n, k, **scoring
         )
         lists = to_rec_list(found, "user_id", "product_id", "score", k)
         empty = F.array().cast("array<struct<product_id:bigint,score:double>>")

@@ -25,7 +25,7 @@ def test_cosine_pairs(spark, block_rows):
     for i in range(len(ids)):
         for j in range(i + 1, len(ids)):
             if norm[i] and norm[j]:
-                s = round(float(m[i] @ m[j] / norm[i] / norm[j]), 6)
+                s = float(m[i] @ m[j] / norm[i] / norm[j])
                 if s > 0.4:
                     want.add((min(ids[i], ids[j]), max(ids[i], ids[j]), s))
     got = rows(dense.cosine_pairs(frame, 0.4, block_rows))
@@ -39,7 +39,7 @@ def test_best_scores(spark, block_rows):
     right, rid, rm = vectors(spark, 33, 4, 3)
     want = []
     for i, v in zip(lid, lm):
-        s = np.round(rm @ v, 6)
+        s = dense.settled(rm @ v)
         best = sorted((-x, j) for x, j in zip(s, rid) if x > 0)[:5]
         want += [(i, k + 1, j) for k, (_, j) in enumerate(best)]
     got = rows(dense.best_scores(left, right, 5, above=0.0, block_rows=block_rows), "id", "rank", "other_id")
@@ -54,3 +54,21 @@ def test_best_scores_skip_same(spark):
     assert twins[ids[8]] == ids[9]
     assert twins[ids[9]] == ids[8]
     assert ids[3] not in twins
+
+
+def test_threshold_uses_the_unrounded_score(spark):
+    third = (1 - 0.4000003 ** 2) ** 0.5
+    frame = spark.createDataFrame(
+        [(1, [1.0, 0.0]), (2, [0.4000003, third]), (3, [0.4, 0.84 ** 0.5])],
+        "id long, vector array<double>")
+    got = rows(dense.cosine_pairs(frame, 0.4), "a", "b")
+    assert (1, 2) in got
+    assert (1, 3) not in got
+
+
+def test_tiny_scores_keep_their_order(spark):
+    left = spark.createDataFrame([(1, [1e-4])], "id long, vector array<double>")
+    right = spark.createDataFrame(
+        [(k, [1e-3 + k * 1e-9]) for k in range(50)], "id long, vector array<double>")
+    got = rows(dense.best_scores(left, right, 5, above=0.0), "rank", "other_id")
+    assert got == [(k + 1, 49 - k) for k in range(5)]
