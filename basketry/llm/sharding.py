@@ -112,7 +112,8 @@ def _granted(wishes: DataFrame, load: dict[int, int], quota: float, turn: int) -
 
 
 def _numbered(rows: DataFrame, n_rows: int) -> DataFrame:
-    """``position`` of each row in its shard, from 0, linked units first, units together."""
+    """``position`` of each row in its shard, from 0: equal texts first, then other linked
+    rows, then the rest; units together."""
     spread = max(16, n_rows // (SHARDS * _BUCKET_ROWS))
     # A unit with many rows fills buckets of its own.
     parts = F.ceil(F.col("weight") / _BUCKET_ROWS)
@@ -180,9 +181,10 @@ def assign_shards(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         moves = _granted(_wishes(units, links), load, n_rows / SHARDS, turn)
         units = cut_lineage(units.join(moves, "unit", "left").select(
             "unit", "weight", F.coalesce("wish", "shard").alias("shard")), "units")
-    linked = links.select("unit").distinct().withColumn("alone", F.lit(0))
+    linked = links.select("unit").distinct().withColumn("linked", F.lit(1))
+    # Rows that share nothing are the first to move, rows of equal text the last.
     placed = rows.drop("keys", "text_key").join(units, "unit").join(linked, "unit", "left") \
-        .withColumn("alone", F.coalesce("alone", F.lit(1)))
+        .withColumn("alone", F.when(F.col("weight") > 1, 0).when(F.col("linked") == 1, 1).otherwise(2))
     counts = dict.fromkeys(range(SHARDS), 0) | {
         r["shard"]: r["w"] for r in units.groupBy("shard").agg(F.sum("weight").alias("w")).collect()}
     return _evened(_numbered(placed, n_rows), counts)
