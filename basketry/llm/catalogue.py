@@ -13,6 +13,7 @@ from basketry.llm import (
     fingerprints,
     languages,
     lines,
+    oracles,
     pii,
     secrets,
     sharding,
@@ -39,5 +40,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """SQL can't express these whole: tokenizers, trees, suffix and hash searches, mixtures."""
-    return {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    """The other queries end in tokenizers, models, or hashes that SQL does not have."""
+    found = {
+        "op4_contamination": oracles.OP4,
+        "op7_near_documents": oracles.OP7,
+        "op8_secrets": oracles.OP8,
+        "pipeline": corpus_pipeline.ORACLE_SQL,
+    }
+    return {name: sql for name, sql in found.items() if sql}

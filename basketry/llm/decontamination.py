@@ -285,4 +285,4 @@ def op4_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
-        F.coalesce(longest, F.lit(0)).alias("longest_match"))
+        F.coalesce(longest, F.lit(0)).cast("long").alias("longest_match"))
