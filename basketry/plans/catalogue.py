@@ -183,6 +183,27 @@ def als_user_recs(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def als_user_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """Every user's list: its length, and whether ranks and scores run down without a gap."""
+    lists = als_user_recs(spark, sf).groupBy("user_id").agg(F.array_sort(F.collect_list(
+        F.struct("rank", "score"))).alias("list"))
+    falls = F.aggregate(
+        "list", F.struct(F.lit(True).alias("ok"), F.lit(0).alias("rank"), F.lit(1e300).alias("score")),
+        lambda a, x: F.struct(
+            (a["ok"] & (x["rank"] == a["rank"] + 1) & (x["score"] <= a["score"])).alias("ok"),
+            x["rank"].alias("rank"), x["score"].alias("score")))
+    return lists.select(
+        "user_id", F.size("list").cast("long").alias("n"), falls["ok"].alias("in_order"))
+
+
+def als_solved(spark: SparkSession, sf: str) -> DataFrame:
+    """Do each user's factors solve the least squares that training poses?"""
+    rating, reg = retail.rating(spark, sf), 24.274
+    found = als.residuals(als.train_als(rating, reg=reg), rating, reg)
+    return found.select(
+        F.col("user_id").cast("long").alias("user_id"), (F.col("residual") < 1e-3).alias("solved"))
+
+
 def als_item_sim(spark: SparkSession, sf: str) -> DataFrame:
     return als.item_similarity(als.train_als(retail.rating(spark, sf)))
 
@@ -283,6 +304,13 @@ def uv_approx(spark: SparkSession, sf: str) -> DataFrame:
     return _hours(events.uv_hourly(retail.behavior(spark, sf), "approx", "view"))
 
 
+def uv_approx_close(spark: SparkSession, sf: str) -> DataFrame:
+    """Is the sketch within 15 % of the exact count, hour by hour?"""
+    exact = uv_hourly(spark, sf).withColumnRenamed("count", "exact")
+    return uv_approx(spark, sf).join(exact, ["start", "end"]).select(
+        "start", "end", (F.abs(F.col("count") - F.col("exact")) <= 0.15 * F.col("exact")).alias("close"))
+
+
 def uv_running(spark: SparkSession, sf: str) -> DataFrame:
     running = events.uv_running(retail.behavior(spark, sf), event_type="view")
     return _hours(running).select("start", "end", "user_id", "event_id", "count")
@@ -410,9 +438,9 @@ BATCH: dict[str, Query] = {
         itemcf_recs,
         similar_by_itemcf, factor_similarity, factor_topk, factor_user_topk, tfidf, content_similarity,
         content_similarity_hashed, content_topk, similar_by_content, als_user_recs,
-        als_item_sim, als_item_topk, als_grid, als_best_setting, offline_recs, online_recs,
+        als_user_lists, als_solved, als_item_sim, als_item_topk, als_grid, als_best_setting, offline_recs, online_recs,
         stream_list_served, hot_window_counts, hot_window_topn, hot_window_report, uv_hourly,
-        uv_bitmap, uv_approx, uv_running, login_alerts_2m, login_alerts_24h, lockout_until,
+        uv_bitmap, uv_approx, uv_approx_close, uv_running, login_alerts_2m, login_alerts_24h, lockout_until,
         user_lockouts, recent_ratings, rating_upsert, submit_ratings, ratings_from_log,
         rating_rejects, username_id, register_users, update_user_prefs,
     )

@@ -249,6 +249,12 @@ SELECT {_SECOND.format('window_end')}, rank,
        concat('NO', rank, ': product=', product_id, ' count=', count) AS line FROM top""",
     "uv_hourly": f"""WITH {_VIEWS}
 SELECT {_HOUR}, count(DISTINCT user_id) AS count FROM views GROUP BY h""",
+    "uv_approx_close": f"""WITH {_VIEWS}
+SELECT {_HOUR}, true AS close FROM views GROUP BY h""",
+    "als_user_lists": f"""WITH {_RATING}
+SELECT user_id, 20::BIGINT AS n, true AS in_order FROM rating GROUP BY user_id""",
+    "als_solved": f"""WITH {_RATING}
+SELECT user_id, true AS solved FROM rating GROUP BY user_id""",
     "uv_bitmap": f"""WITH {_VIEWS}
 SELECT {_HOUR}, count(DISTINCT {_string_hash('user_id::VARCHAR', 61, 1 << 29)}) AS count
 FROM views GROUP BY h""",
