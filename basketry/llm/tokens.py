@@ -18,8 +18,10 @@ text are not read.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +32,11 @@ from basketry.llm.texts import write_step
 from basketry.runtime import scratch_path, shuffle_width
 
 #: Distinct pieces of text a worker remembers the ids of.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 900_000
 #: Ids of a block; a longer document is a block of its own.
 BLOCK_IDS = 1 << 18
 
-_ENCODED = "doc_id long, n_tokens long, ids binary"
+_ENCODED = "doc_id long, ids binary, counts binary"
 _BLOCK = (
     "part int, block int, start long, doc_ids array<long>, counts array<long>, "
     "control binary, data binary"
@@ -51,18 +53,53 @@ class _Pieces(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = id_type(self.tokenizer.get_vocab_size(with_added_tokens=True))
+        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.dtype = id_type(self.size)
+        self.cores: dict[str, bytes] = {}
 
     def learn(self, texts: list[list[str]]) -> None:
-        if len(self) > CACHE_PIECES:
+        """Encode the pieces not known yet. Marks at the ends of a piece and letter case make no
+        difference to the ids of the rest, so pieces share what is left without them."""
+        if len(self) > CACHE_PIECES or len(self.cores) > CACHE_PIECES:
             self.clear()
+            self.cores.clear()
         new = list(set().union(*texts).difference(self))
-        for start in range(0, len(new), 5000):
-            part = new[start:start + 5000]
-            for piece, found in zip(
-                part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            ):
-                self[piece] = np.array(found.ids, self.dtype).tobytes()
+        parts = [_parts(piece) for piece in new]
+        self._encode(list(set(chain.from_iterable(parts)).difference(self.cores)))
+        for piece, found in zip(new, parts):
+            self[piece] = b"".join(map(self.cores.__getitem__, found))
+
+    def _encode(self, cores: list[str]) -> None:
+        """Many in one string; a token belongs to the core that its offset lies in."""
+        width = np.dtype(self.dtype).itemsize
+        for start in range(0, len(cores), 5000):
+            part = cores[start:start + 5000]
+            bounds = np.cumsum([0] + [len(core) + 1 for core in part])
+            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids = np.array(found.ids, self.dtype).tobytes()
+            begins = np.array(found.offsets, np.int64).reshape(-1, 2)[:, 0]
+            cuts = (np.searchsorted(begins, bounds) * width).tolist()
+            for core, a, b in zip(part, cuts, cuts[1:]):
+                self.cores[core] = ids[a:b]
+
+
+#: Marks that are no part of a special token and no apostrophe.
+_MARKS = ".,!?;:#*%$&"
+#: Characters that normal forms leave alone and that have one lower case.
+_PLAIN = re.compile("[\0-\u012f\u0131-\u024f]*")
+
+
+def _parts(piece: str) -> tuple[str, ...]:
+    """Marks before, the middle in lower case, and marks after. A middle that ends in a letter
+    or digit is never joined with a mark; other pieces stay whole."""
+    rest = piece.lstrip(_MARKS)
+    core = rest.rstrip(_MARKS)
+    if not (core[:1].isalnum() and core[-1:].isalnum() and _PLAIN.fullmatch(piece)):
+        return (piece,)
+    found = (core.lower(),)
+    if len(rest) < len(piece):
+        found = (piece[:len(piece) - len(rest)], *found)
+    return (*found, rest[len(core):]) if len(core) < len(rest) else found
 
 
 @lru_cache(maxsize=2)
@@ -75,7 +112,8 @@ def id_type(size: int) -> str:
 
 
 def encode(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
-    """``doc_id, n_tokens, ids``: little-endian ids of each text, then ``end_id``.
+    """``doc_id, ids``: little-endian ids of each text, then ``end_id``. Each task adds a row
+    without ids whose ``counts`` say how often it wrote each id.
 
     The vocabulary drops white space and never merges across it, so a text is cut at blanks
     and line feeds and each distinct piece is encoded once per worker.
@@ -83,36 +121,39 @@ def encode(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(vocabulary)
-        width, end = np.dtype(pieces.dtype).itemsize, np.array([end_id], pieces.dtype).tobytes()
+        end = np.array([end_id], pieces.dtype).tobytes()
+        total = np.zeros(max(pieces.size, end_id + 1), np.int64)
+        names = ["doc_id", "ids", "counts"]
         for batch in batches:
             for start in range(0, batch.num_rows, 1000):
                 part = batch.slice(start, 1000)
                 texts = [(t or "").replace("\n", " ").split(" ") for t in part[1].to_pylist()]
                 pieces.learn(texts)
                 ids = [b"".join(map(pieces.__getitem__, t)) + end for t in texts]
-                yield pa.record_batch([
-                    part[0], pa.array([len(i) // width for i in ids], pa.int64()),
-                    pa.array(ids, pa.binary()),
-                ], ["doc_id", "n_tokens", "ids"])
+                coded = pa.array(ids, pa.binary())
+                total += np.bincount(np.frombuffer(b"".join(ids), pieces.dtype), minlength=len(total))
+                yield pa.record_batch([part[0], coded, pa.nulls(len(ids), pa.binary())], names)
+        yield pa.record_batch([
+            pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.tobytes()])], names)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, _ENCODED)
 
 
-def id_counts(encoded: DataFrame, size: int) -> DataFrame:
+def id_counts(encoded: DataFrame) -> DataFrame:
     """``id, n`` over all documents; at most one row per id of the vocabulary."""
-    dtype = id_type(size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
+        total = 0
         for batch in batches:
-            for ids in batch[0]:
-                total += np.bincount(np.frombuffer(ids.as_py(), dtype), minlength=size)
+            for counts in batch[0].to_pylist():
+                total = total + np.frombuffer(counts, np.int64)
         seen = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(seen), pa.array(total[seen])], ["id", "n"])
+        yield pa.record_batch(
+            [pa.array(seen), pa.array(total[seen] if len(seen) else seen)], ["id", "n"])
 
-    return encoded.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(
-        F.sum("n").alias("n"))
+    return encoded.where("counts is not null").select("counts").mapInArrow(
+        run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def pack(values: np.ndarray) -> tuple[bytes, bytes]:
@@ -144,49 +185,41 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int) -> No
     from tokenizers import Tokenizer
 
     spark = docs.sparkSession
-    size = max(Tokenizer.from_file(vocabulary).get_vocab_size(with_added_tokens=True), end_id + 1)
-    dtype = id_type(size)
+    size = Tokenizer.from_file(vocabulary).get_vocab_size(with_added_tokens=True)
+    dtype, width = id_type(size), np.dtype(id_type(size)).itemsize
     encoded = write_step(encode(docs, vocabulary, end_id), "token-ids")
     # As many rows as the vocabulary at most.
-    order = [r["id"] for r in id_counts(encoded, size).orderBy(F.desc("n"), "id").collect()]
-    rank_of = np.zeros(size, np.uint32)
+    order = [r["id"] for r in id_counts(encoded).orderBy(F.desc("n"), "id").collect()]
+    rank_of = np.zeros(max(size, end_id + 1), np.uint32)
     rank_of[order] = np.arange(len(order), dtype=np.uint32)
     shared = spark.sparkContext.broadcast(rank_of)
 
-    def renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed = [pack(shared.value[np.frombuffer(i.as_py(), dtype)]) for i in batch[2]]
-            yield pa.record_batch([
-                batch[0], batch[1], pa.array([c for c, _ in packed], pa.binary()),
-                pa.array([d for _, d in packed], pa.binary()),
-            ], ["doc_id", "n_tokens", "control", "data"])
-
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, block, start, held, size_held = TaskContext.get().partitionId(), 0, 0, [], 0
 
         def flush() -> pa.RecordBatch:
-            control, data = pack(np.concatenate([v for _, v in held]))
+            ids = np.frombuffer(b"".join(v for _, v in held), dtype)
+            control, data = pack(shared.value[ids])
             return pa.record_batch([
                 pa.array([part], pa.int32()), pa.array([block], pa.int32()),
                 pa.array([start], pa.int64()), pa.array([[d for d, _ in held]], pa.list_(pa.int64())),
-                pa.array([[len(v) for _, v in held]], pa.list_(pa.int64())),
+                pa.array([[len(v) // width for _, v in held]], pa.list_(pa.int64())),
                 pa.array([control], pa.binary()), pa.array([data], pa.binary()),
             ], ["part", "block", "start", "doc_ids", "counts", "control", "data"])
 
         for batch in batches:
-            for doc_id, n, control, data in zip(*(batch[k].to_pylist() for k in range(4))):
-                held.append((doc_id, unpack(control, data, n)))
-                size_held += n
+            for doc_id, ids in zip(batch[0].to_pylist(), batch[1].to_pylist()):
+                held.append((doc_id, ids))
+                size_held += len(ids) // width
                 if size_held >= BLOCK_IDS:
                     yield flush()
                     block, start, held, size_held = block + 1, start + size_held, [], 0
         if held:
             yield flush()
 
-    # Only the packed form is shuffled.
-    encoded.mapInArrow(renumber, "doc_id long, n_tokens long, control binary, data binary") \
+    encoded.where("ids is not null").select("doc_id", "ids") \
         .repartitionByRange(shuffle_width(spark), "doc_id").sortWithinPartitions("doc_id") \
         .mapInArrow(blocks, _BLOCK).write.parquet(f"{path}/blocks")
     ranks = spark.createDataFrame(list(enumerate(order)), "rank int, id long")
