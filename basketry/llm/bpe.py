@@ -16,10 +16,13 @@ from __future__ import annotations
 
 import base64
 import json
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,7 +34,8 @@ from basketry.llm.texts import write_step
 #: Words that Spark encodes and broadcasts.
 FREQUENT_WORDS = 20_000
 #: Distinct stretches of text a worker remembers the ids of.
-CACHE_STRETCHES = 400_000
+CACHE_STRETCHES = 700_000
+NEVER = 1 << 30
 _BUCKETS = 8192
 _ODD_BLANK = regex.compile(r" (?=\s|$)")
 
@@ -58,11 +62,10 @@ def rank_map(ranks: dict[bytes, int]) -> Column:
 def fold_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """``word, ids`` of ``word`` rows: byte pieces, joined pair by pair in order of rank."""
     table = rank_map(ranks)
-    never = 1 << 30
 
     def rank(piece: Column) -> Column:
         at = F.pmod(F.crc32(F.encode(piece, "UTF-8")), F.lit(_BUCKETS)).cast("int")
-        return F.coalesce(F.try_element_at(F.element_at(table, at + 1), piece), F.lit(never))
+        return F.coalesce(F.try_element_at(F.element_at(table, at + 1), piece), F.lit(NEVER))
 
     def pair_ranks(pieces: Column) -> Column:
         return F.transform(
@@ -70,7 +73,7 @@ def fold_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
             lambda i: F.when(
                 i < F.size(pieces),
                 rank(F.concat(F.element_at(pieces, i), F.element_at(pieces, i + 1)))
-            ).otherwise(never))
+            ).otherwise(NEVER))
 
     def merge(state: Column, _) -> Column:
         pieces, pairs = state["pieces"], state["ranks"]
@@ -80,7 +83,7 @@ def fold_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
             F.slice(pieces, F.lit(1), at - 1),
             F.array(F.concat(F.element_at(pieces, at), F.element_at(pieces, at + 1))),
             F.slice(pieces, at + 2, F.greatest(F.size(pieces) - at - 1, F.lit(0))))
-        return F.when(lowest == never, state).otherwise(
+        return F.when(lowest == NEVER, state).otherwise(
             F.struct(joined.alias("pieces"), pair_ranks(joined).alias("ranks")))
 
     octets = F.octet_length("word")
@@ -94,25 +97,29 @@ def fold_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
 
 
 def frequent_words(docs: DataFrame, pattern: str, n: int) -> DataFrame:
-    """The ``n`` most frequent words of all texts: ``word``."""
+    """``word``: the words of the ``n`` most frequent stretches of all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = regex.compile(pattern).findall
-        for part in texts.slices(batches, "text", 8 << 20):
-            stretches = Counter()
+        def counted() -> pa.RecordBatch:
+            return pa.record_batch([
+                pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64()),
+            ], ["stretch", "n"])
+
+        counts: Counter = Counter()
+        for part in texts.slices(batches, "text"):
             for text in part[0].to_pylist():
-                stretches.update(_stretches(text or ""))
-            counts = Counter()
-            for stretch, times in stretches.items():
-                for word in find(stretch):
-                    counts[word] += times
-            yield pa.record_batch(
-                [pa.array(list(counts)), pa.array(list(counts.values()), pa.int64())],
-                ["word", "n"])
+                counts.update(_stretches(text or ""))
+            if len(counts) > CACHE_STRETCHES:
+                yield counted()
+                counts.clear()
+        yield counted()
 
-    counted = docs.select(F.col("text").cast("string")).mapInArrow(run, "word string, n long")
-    return counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(
-        F.desc("n"), "word").limit(n).select("word")
+    counted = docs.select(F.col("text").cast("string")).mapInArrow(run, "stretch string, n long")
+    best = counted.groupBy("stretch").agg(F.sum("n").alias("n")).orderBy(
+        F.desc("n"), "stretch").limit(n).collect()
+    find = regex.compile(pattern).findall
+    words = sorted({word for r in best for word in find(r["stretch"])})
+    return docs.sparkSession.createDataFrame([(w,) for w in words], "word string")
 
 
 def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
@@ -135,26 +142,91 @@ def _stretches(text: str) -> list[str]:
     return [first, *map(" ".__add__, rest)] if first else list(map(" ".__add__, rest))
 
 
-def fold(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one word: the leftmost pair of lowest rank is joined until none is left."""
-    whole = ranks.get(word)
-    if whole is not None:
-        return [whole]
-    pieces = [word[i:i + 1] for i in range(len(word))]
-    never = len(ranks) + (1 << 30)
-    pairs = [ranks.get(a + b, never) for a, b in zip(pieces, pieces[1:])]
-    while pairs:
-        lowest = min(pairs)
-        if lowest == never:
-            break
-        at = pairs.index(lowest)
-        pieces[at:at + 2] = [pieces[at] + pieces[at + 1]]
-        del pairs[at]
-        if at:
-            pairs[at - 1] = ranks.get(pieces[at - 1] + pieces[at], never)
-        if at < len(pairs):
-            pairs[at] = ranks.get(pieces[at] + pieces[at + 1], never)
-    return [ranks[p] for p in pieces]
+class PairTable:
+    """Rank of the token that two tokens make, for arrays of pairs: two hash tables, a pair is
+    in one of them."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        found = {}
+        for token, rank in ranks.items():
+            for k in range(1, len(token)):
+                a, b = ranks.get(token[:k]), ranks.get(token[k:])
+                if a is not None and b is not None:
+                    found[a << 32 | b] = rank
+        keys = np.array(sorted(found), np.uint64)
+        values = np.array([found[k] for k in keys.tolist()], np.int64)
+        self.bits = max(10, (16 * len(keys)).bit_length())
+        self.keys = np.full((2, 1 << self.bits), np.iinfo(np.uint64).max, np.uint64)
+        self.values = np.full((2, 1 << self.bits), NEVER, np.int64)
+        rest = np.arange(len(keys))
+        for side in (0, 1):
+            at = self._slot(keys[rest], side)
+            _, first = np.unique(at, return_index=True)
+            self.keys[side, at[first]] = keys[rest[first]]
+            self.values[side, at[first]] = values[rest[first]]
+            rest = np.delete(rest, first)
+        self.others = {int(keys[k]): int(values[k]) for k in rest}
+
+    def _slot(self, keys: np.ndarray, side: int) -> np.ndarray:
+        factor = np.uint64((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)[side])
+        return ((keys * factor) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64)
+        out = np.full(keys.shape, NEVER, np.int64)
+        for side in (0, 1):
+            at = self._slot(keys, side)
+            out = np.where(self.keys[side, at] == keys, self.values[side, at], out)
+        if self.others:
+            for place in zip(*np.nonzero(np.isin(keys, list(self.others)))):
+                out[place] = self.others[int(keys[place])]
+        return out
+
+
+def fold(words: list[str], ranks: dict[bytes, int], pairs: PairTable) -> list[bytes]:
+    """Ids (as bytes) of each word: in every round each word joins its leftmost pair of lowest
+    rank. Words of one length are folded together."""
+    coded = [w.encode() for w in words]
+    out = [b""] * len(words)
+    single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+    by_length: dict[int, list[int]] = {}
+    for k, c in enumerate(coded):
+        whole = ranks.get(c)
+        if whole is not None:
+            out[k] = array("i", [whole]).tobytes()
+        else:
+            by_length.setdefault(len(c), []).append(k)
+    by_length.pop(0, None)
+    for length, chosen in by_length.items():
+        who = np.array(chosen)
+        ids = single[np.frombuffer(b"".join(coded[k] for k in chosen), np.uint8)].reshape(-1, length)
+        rank = pairs(ids[:, :-1], ids[:, 1:])
+        while len(who):
+            row = np.arange(len(who))
+            if ids.shape[1] > 1:
+                at = rank.argmin(axis=1)
+                lowest = rank[row, at]
+            else:
+                lowest = np.full(len(who), NEVER)
+            done = lowest == NEVER
+            if done.any():
+                for k, final in zip(who[done], ids[done].astype(np.int32)):
+                    out[k] = final.tobytes()
+                left = ~done
+                who, ids, rank, row = who[left], ids[left], rank[left], np.arange(left.sum())
+                if not len(who):
+                    break
+                at, lowest = at[left], lowest[left]
+            ids[row, at] = lowest
+            # The columns behind the joined pair move up by one.
+            column = np.arange(ids.shape[1] - 1)
+            ids = np.take_along_axis(ids, column + (column > at[:, None]), axis=1)
+            column = np.arange(rank.shape[1] - 1)
+            rank = np.take_along_axis(rank, column + (column >= at[:, None]), axis=1)
+            for side, has in ((at - 1, at > 0), (at, at < rank.shape[1])):
+                r, c = row[has], side[has]
+                rank[r, c] = pairs(ids[r, c], ids[r, c + 1])
+    return out
 
 
 class _Memory(dict):
@@ -162,19 +234,38 @@ class _Memory(dict):
 
     def __init__(self, pattern: str, ranks: dict[bytes, int], known: dict[str, list[int]]):
         super().__init__()
-        self.find, self.ranks, self.known = regex.compile(pattern).findall, ranks, known
-
-    def __missing__(self, stretch: str) -> bytes:
-        ids: list[int] = []
-        for word in self.find(stretch):
-            found = self.known.get(word)
-            ids += fold(word.encode(), self.ranks) if found is None else found
-        coded = pa.py_buffer(b"".join(i.to_bytes(4, "little") for i in ids)).to_pybytes()
-        if len(stretch) <= 64:
-            if len(self) > CACHE_STRETCHES:
-                self.clear()
-            self[stretch] = coded
-        return coded
+        self.find, self.ranks, self.pairs = regex.compile(pattern).findall, ranks, PairTable(ranks)
+        self.known = {word: array("i", ids).tobytes() for word, ids in known.items()}
+        self.words = dict(self.known)
+
+    def learn(self, texts: list[list[str]]) -> None:
+        """Fold the words of the stretches not known yet."""
+        if len(self) > CACHE_STRETCHES:
+            self.clear()
+        if len(self.words) > CACHE_STRETCHES:
+            self.words = dict(self.known)
+        new = list(set().union(*texts).difference(self))
+        found = self._words(new)
+        unknown = list(set(chain.from_iterable(found)).difference(self.words))
+        self.words.update(zip(unknown, fold(unknown, self.ranks, self.pairs)))
+        for stretch, words in zip(new, found):
+            self[stretch] = b"".join(map(self.words.__getitem__, words))
+
+    def _words(self, stretches: list[str]) -> list[list[str]]:
+        """Words of each stretch. Stretches that begin with a blank before a word are searched
+        as one text, which is cut at the same places."""
+        apart = [s for s in stretches if s[:1] != " " or not s[1:2] or s[1].isspace()]
+        if apart:
+            rest = set(apart)
+            found = dict(zip(apart, map(self.find, apart)))
+            joined = [s for s in stretches if s not in rest]
+            found.update(zip(joined, self._words(joined)))
+            return [found[s] for s in stretches]
+        words = self.find("".join(stretches))
+        ends = np.cumsum([len(w) for w in words]) if words else np.zeros(0, np.int64)
+        bounds = np.cumsum([0] + [len(s) for s in stretches])
+        cuts = np.searchsorted(ends, bounds, "right").tolist()
+        return [words[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 _memories: dict = {}
@@ -197,8 +288,9 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, frequent: int = FREQU
             _memories.clear()
             memory = _memories[id(shared.value)] = _Memory(pattern, *shared.value)
         for part in texts.slices(batches, "text"):
-            coded = [
-                b"".join([memory[s] for s in _stretches(t or "")]) for t in part[1].to_pylist()]
+            cut = [_stretches(t or "") for t in part[1].to_pylist()]
+            memory.learn(cut)
+            coded = [b"".join(map(memory.__getitem__, stretches)) for stretches in cut]
             offsets = [0]
             for c in coded:
                 offsets.append(offsets[-1] + len(c) // 4)

@@ -12,13 +12,14 @@ PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 RANKS = bpe.read_ranks(PATH)
 WHOLE = tiktoken.Encoding(
     "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+MEMORY = bpe._Memory(public_tokenizers.PATTERN, RANKS, {})
 
 
 @settings(max_examples=300)
 @given(st.text(alphabet=" \n\tab'sZé東!1　\U0001f600", max_size=30))
 def test_stretches_are_cut_where_no_word_reaches(text):
-    memory = bpe._Memory(public_tokenizers.PATTERN, RANKS, {})
-    coded = b"".join(memory[s] for s in bpe._stretches(text))
+    MEMORY.learn([bpe._stretches(text)])
+    coded = b"".join(MEMORY[s] for s in bpe._stretches(text))
     ids = [int.from_bytes(coded[k:k + 4], "little") for k in range(0, len(coded), 4)]
     assert ids == WHOLE.encode_ordinary(text)
 
@@ -44,3 +45,17 @@ def test_round_trip(spark):
 
 def test_empty_table(spark):
     assert bpe.encode(fixtures.empty(spark), PATH, public_tokenizers.PATTERN).count() == 0
+
+
+def test_words_are_folded_together_like_one_by_one():
+    words = [" hello", "", "ééé", "東京都", "aaaaaaaaaaaaaaaa", " the", "zzqx", "\U0001f600\U0001f600"]
+    words += fixtures.prose(5, 300).split(" ")
+    got = bpe.fold(words, RANKS, MEMORY.pairs)
+    for word, ids in zip(words, got):
+        assert [int.from_bytes(ids[k:k + 4], "little") for k in range(0, len(ids), 4)] == (
+            WHOLE.encode_ordinary(word) if word != "" else [])
+
+
+def test_stretches_found_together_like_one_by_one():
+    stretches = [" a", " b!", "x", " ", " \n", " c\n", " d's", "  e", ""]
+    assert MEMORY._words(stretches) == [MEMORY.find(s) for s in stretches]
