@@ -10,6 +10,7 @@ import corpus_pipeline
 from basketry.llm import (
     bpe,
     decontamination,
+    filters,
     fingerprints,
     languages,
     lines,
@@ -32,6 +33,7 @@ _QUERIES = (
     secrets.op8_secrets,
     bpe.op9_byte_bpe,
     lines.op10_repeated_lines,
+    filters.op12_filter_audit,
 )
 
 
@@ -45,6 +47,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_contamination": oracles.OP4,
         "op7_near_documents": oracles.OP7,
         "op8_secrets": oracles.OP8,
+        "op12_filter_audit": oracles.OP12,
         "pipeline": corpus_pipeline.ORACLE_SQL,
     }
     return {name: sql for name, sql in found.items() if sql}

@@ -89,3 +89,42 @@ listed AS (
 SELECT doc_id, {', '.join(f'coalesce(n_{k}, 0) AS n_{k}' for k in BASE)},
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM documents LEFT JOIN listed USING (doc_id)"""
+
+
+OP12 = """WITH doc AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+mark AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good,
+                coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id),
+judged AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         (len(w) < 50)::INT
+         + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
+         + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t))::INT
+         + 8 * regexp_matches(t, '[#$%&*|]')::INT
+         + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS mask
+  FROM doc LEFT JOIN mark USING (doc_id)),
+cell AS (SELECT part, mask, good, toxic, count(*) AS n FROM judged GROUP BY ALL),
+letter(l, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+ordering AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letter a, letter b, letter c, letter d, letter e
+  WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+step AS (
+  SELECT filter_order, k::INT AS step, bits[k] AS bit,
+         coalesce(list_sum(bits[1:k - 1]), 0)::INT AS before
+  FROM ordering, range(1, 6) AS r(k)),
+met AS (
+  SELECT part, filter_order, step, bit,
+         coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit <> 0), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (mask & before <> 0 AND mask & bit <> 0), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+         coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit <> 0 AND good), 0)::BIGINT
+           AS good_lost,
+         coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit <> 0 AND toxic), 0)::BIGINT
+           AS toxic_lost
+  FROM cell, step GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM met"""
