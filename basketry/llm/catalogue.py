@@ -20,6 +20,7 @@ from basketry.llm import (
     sharding,
     shingles,
     tokens,
+    transducer,
 )
 
 _QUERIES = (
@@ -34,6 +35,7 @@ _QUERIES = (
     bpe.op9_byte_bpe,
     lines.op10_repeated_lines,
     filters.op12_filter_audit,
+    transducer.op13_lexicon_bpe,
 )
 
 

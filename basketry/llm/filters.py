@@ -72,6 +72,7 @@ def judged(docs: DataFrame, labels: DataFrame, part: str = "source") -> DataFram
         F.min("id").alias("least"),
         F.coalesce(F.sum(F.when(F.col("id").isNull(), F.col("n"))), F.lit(0)).alias("nameless"),
         F.min(F.when(F.col("id").isNotNull(), F.struct("id", "part", "n"))).alias("first"))
+    kinds = write_step(kinds, "filter-kinds")
     least = kinds.groupBy("text_key").agg(F.min("least").alias("of_text"))
     sized = kinds.join(least, "text_key").withColumn(
         "originals", F.col("nameless") + F.when(

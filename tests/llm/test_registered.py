@@ -3,5 +3,5 @@ import __spark_entry__ as driver
 
 def test_one_query_per_operator():
     names = [n for n in driver.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in driver.queries()
