@@ -16,6 +16,7 @@ from basketry.llm import (
     lines,
     oracles,
     pii,
+    ranking,
     secrets,
     sharding,
     shingles,
@@ -34,6 +35,7 @@ _QUERIES = (
     secrets.op8_secrets,
     bpe.op9_byte_bpe,
     lines.op10_repeated_lines,
+    ranking.op11_ranked_documents,
     filters.op12_filter_audit,
     transducer.op13_lexicon_bpe,
 )
@@ -49,6 +51,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_contamination": oracles.OP4,
         "op7_near_documents": oracles.OP7,
         "op8_secrets": oracles.OP8,
+        "op11_ranked_documents": oracles.OP11,
         "op12_filter_audit": oracles.OP12,
         "pipeline": corpus_pipeline.ORACLE_SQL,
     }

@@ -128,3 +128,27 @@ met AS (
 SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
        (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
 FROM met"""
+
+OP11 = """WITH doc AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+query AS (
+  SELECT q, item_id, unnest(list_distinct(w)) AS t FROM (
+    SELECT row_number() OVER () AS q, item_id, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM benchmark)),
+whole AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS l FROM doc WHERE len(w) > 0),
+sized AS (SELECT d, doc_id, 50 + ((50 * len(w)::BIGINT * n_docs) // l) AS m FROM doc, whole
+          WHERE len(w) > 0),
+posting AS (SELECT d, t, count(*)::BIGINT AS tf FROM (SELECT d, unnest(w) AS t FROM doc)
+            WHERE t IN (SELECT t FROM query) GROUP BY d, t),
+weight AS (SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+           FROM posting, whole GROUP BY t, n_docs),
+scored AS (
+  SELECT q, item_id, d, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM query JOIN posting USING (t) JOIN weight USING (t) JOIN sized USING (d) GROUP BY ALL)
+SELECT item_id, (row_number() OVER (
+         PARTITION BY q ORDER BY score DESC, doc_id NULLS FIRST))::INT AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50"""
