@@ -43,7 +43,9 @@ LEXICON_WORDS = 1 << 17
 #: Words beyond it that a worker remembers the ids of.
 CACHE_WORDS = 400_000
 #: Distinct words a task counts before it hands them on.
-COUNTED_WORDS = 500_000
+COUNTED_WORDS = 200_000
+#: Bytes of text a task works on at a time: code points and offsets take some forty times as much.
+SLICE_BYTES = 1 << 20
 #: Longer words (in bytes) are merged one by one.
 LONG_WORD = 48
 _NEVER = np.int64(1 << 40)
@@ -404,7 +406,7 @@ def word_counts(docs: DataFrame, specials: dict[str, int]) -> DataFrame:
             return pa.concat_tables(held).group_by("word").aggregate([("n", "sum")]).rename_columns(
                 ["word", "n"])
 
-        for part in texts.slices(batches, "text"):
+        for part in texts.slices(batches, "text", SLICE_BYTES):
             raw, offsets = texts.utf8(part.column(0))
             places, _, special = cut_words(raw, offsets, specials)
             starts, ends = places[:-1][special < 0], places[1:][special < 0]
@@ -538,7 +540,7 @@ def encode(docs: DataFrame, vocabulary: str, limit: int = LEXICON_WORDS) -> Data
         if name not in _encoders:
             _encoders.clear()
             _encoders[name] = _Encoder(shared.value, _lexicon(name))
-        for part in texts.slices(batches, "text"):
+        for part in texts.slices(batches, "text", SLICE_BYTES):
             ids, offsets = _encoders[name](*texts.utf8(part[1]))
             coded = pa.Array.from_buffers(pa.binary(), part.num_rows, [
                 None, pa.py_buffer((4 * offsets).astype(np.int32).tobytes()),
@@ -557,7 +559,7 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
         model = shared.value
         flat, places = np.frombuffer(model.piece_bytes, np.uint8), model.piece_offsets
         sizes = np.diff(places)
-        for part in texts.slices(batches, "ids"):
+        for part in texts.slices(batches, "ids", SLICE_BYTES):
             raw, offsets = texts.utf8(part[1])
             ids = np.frombuffer(raw.tobytes(), "<u4").astype(np.int64)
             inside = ids < len(sizes)
