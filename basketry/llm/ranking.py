@@ -189,7 +189,8 @@ class _Block:
         return self.places[a:b], self.impacts[a:b]
 
 
-def index(rows: DataFrame, wanted: Plan, n: int, length: int) -> DataFrame:
+def index(rows: DataFrame, wanted: Plan, n: int, length: int, block_docs: int = BLOCK_DOCS
+          ) -> DataFrame:
     """The blocks, and per task the best joint impacts of each item."""
     shared = rows.sparkSession.sparkContext.broadcast(wanted)
 
@@ -227,7 +228,7 @@ def index(rows: DataFrame, wanted: Plan, n: int, length: int) -> DataFrame:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 held.append(row)
                 postings += len(row[2]) // 4
-                if len(held) == BLOCK_DOCS or postings >= BLOCK_POSTINGS:
+                if len(held) == block_docs or postings >= BLOCK_POSTINGS:
                     postings = 0
                     yield flush()
         if held:
@@ -400,7 +401,7 @@ def _least_scores(written: DataFrame, n_items: int, results: int) -> np.ndarray:
 
 def best_documents(
     docs: DataFrame, items: DataFrame, results: int = RESULTS, paired: int = PAIRED_TERMS,
-    query_bytes: int = QUERY_BYTES,
+    query_bytes: int = QUERY_BYTES, block_docs: int = BLOCK_DOCS,
 ) -> DataFrame:
     """``item_id, rank, doc_id, score``: for each row of ``items`` (``item_id, text``) the best
     ``results`` documents with a score above 0. Items are taken in blocks of ``query_bytes``, each
@@ -420,7 +421,7 @@ def best_documents(
         table = write_step(forward(docs, some.hashes), "terms")
         weights, n, length = term_weights(table, len(some.hashes))
         wanted = plan(some, weights, results, paired)
-        blocks = write_step(index(table, wanted, n, length), "ranked-index")
+        blocks = write_step(index(table, wanted, n, length, block_docs), "ranked-index")
         wanted.least = _least_scores(blocks, len(some.terms), results)
         found.append(write_step(search(blocks.where("doc_ids is not null"), some, wanted), "ranked"))
     if not found:
