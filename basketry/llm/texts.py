@@ -47,12 +47,31 @@ def fresh(name: str) -> str:
     return f"{name}_{uuid.uuid4().hex}"
 
 
-def without(docs: DataFrame, doc_ids: DataFrame) -> DataFrame:
-    """``docs`` with all their columns, without the rows whose doc_id is in the only column of
-    ``doc_ids``. Rows without a doc_id stay."""
+#: Type of the key that ``with_row`` adds.
+ROW = "struct<file:long,place:long>"
+
+
+def with_row(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a key of each row, the same at every reading: its file and its place there.
+    What is no table as read from its files is written first."""
+    if docs._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation":
+        docs = write_step(docs, "rows")
+    return docs.withColumn(name, F.struct(
+        F.xxhash64("_metadata.file_path").alias("file"),
+        F.col("_metadata.row_index").alias("place")))
+
+
+def keyed(docs: DataFrame, row: str) -> DataFrame:
+    """``row, doc_id, text`` of ``docs``, whose column ``row`` is their key."""
+    return docs.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                       F.col("text").cast("string").alias("text"))
+
+
+def without(docs: DataFrame, row: str, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose key (column ``row``) is in the only column of ``gone``, and
+    without the key."""
     name = fresh("gone")
-    gone = doc_ids.toDF(name).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col(name), "left_anti")
+    return docs.join(gone.toDF(name), F.col(row) == F.col(name), "left_anti").drop(row)
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -140,8 +140,8 @@ def test_byte_bpe(spark, docs):
 def test_repeated_lines(spark, docs):
     got = run(spark, "op10_repeated_lines")
     gone = test_lines.brute_force(docs)
-    for doc_id, text in docs:
-        expected = gone.get(doc_id, {})
+    for row, (doc_id, text) in enumerate(docs):
+        expected = gone.get(row, {})
         assert got[doc_id]["n_removed"] == len(expected)
         assert got[doc_id]["removed"] == ",".join(
             f"{k}:{d}:{n}" for k, (d, n) in sorted(expected.items()))
