@@ -33,8 +33,8 @@ from basketry.runtime import shuffle_width
 
 WORDS, SIMILARITY, RECALL = 5, 0.8, 0.9999
 TREES, LONGEST_PREFIX = 24, 8
-#: Documents of a piece of a bucket.
-PIECE = 512
+#: Documents of a piece of a bucket, and about how many shingles they have together.
+PIECE, PIECE_SHINGLES = 512, 1 << 20
 #: Shingles (columns) multiplied at a time.
 _COLUMNS = 2048
 
@@ -42,7 +42,7 @@ _RANDOM = np.random.default_rng(7)
 _FLIP = _RANDOM.integers(0, 1 << 32, (TREES, LONGEST_PREFIX), dtype=np.uint32)
 _FACTOR = _RANDOM.integers(0, 1 << 32, (TREES, LONGEST_PREFIX), dtype=np.uint32) | np.uint32(1)
 
-_SKETCH = "doc_id long, u binary, n_shingles long, trees array<long>"
+_SKETCH = f"row {texts.ROW}, doc_id long, u binary, n_shingles long, trees array<long>"
 
 
 def prefix_length(
@@ -87,12 +87,12 @@ def _prefixes(sets: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, words: int, length: int) -> DataFrame:
-    """``doc_id, u, n_shingles, trees``: the name of each text's shingle set (null without
+    """``row, doc_id, u, n_shingles, trees``: the name of each text's shingle set (null without
     shingles), its size, and its prefix in every tree."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in texts.slices(batches, "text"):
-            sets, offsets = _shingle_sets(*texts.utf8(part[1]), words)
+            sets, offsets = _shingle_sets(*texts.utf8(part[2]), words)
             sizes = np.diff(offsets)
             full = np.flatnonzero(sizes)
             keys: list = [None] * part.num_rows
@@ -104,30 +104,29 @@ def sketch(docs: DataFrame, words: int, length: int) -> DataFrame:
                 ):
                     keys[k], trees[k] = key.tobytes(), tree
             yield pa.record_batch([
-                part[0], pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
+                part[0], part[1], pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
                 pa.array(trees, pa.list_(pa.int64())),
-            ], ["doc_id", "u", "n_shingles", "trees"])
+            ], ["row", "doc_id", "u", "n_shingles", "trees"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, _SKETCH)
+    return docs.select("row", "doc_id", "text").mapInArrow(run, _SKETCH)
 
 
 def _buckets(units: DataFrame) -> DataFrame:
-    """``tree, prefix, n`` of the buckets to judge: two members at least, and of buckets with
-    the same members only the first."""
+    """``tree, prefix, n, size`` of the buckets to judge (``size``: shingles of all members): two
+    members at least, and of buckets with the same members only the first."""
     member = F.xxhash64("u")
-    rows = units.select(F.posexplode("trees").alias("tree", "prefix"), member.alias("m"))
+    rows = units.select(
+        F.posexplode("trees").alias("tree", "prefix"), member.alias("m"), "n_shingles")
     counted = rows.groupBy("tree", "prefix").agg(
-        F.count("*").alias("n"), F.bit_xor("m").alias("x"),
+        F.count("*").alias("n"), F.sum("n_shingles").alias("size"), F.bit_xor("m").alias("x"),
         F.bit_xor(F.xxhash64("m")).alias("y")).where("n > 1")
-    return counted.groupBy("n", "x", "y").agg(
-        F.min(F.struct("tree", "prefix")).alias("first")).select("first.*", "n")
+    return counted.groupBy("n", "size", "x", "y").agg(
+        F.min(F.struct("tree", "prefix")).alias("first")).select("first.*", "n", "size")
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``u, set`` of the ``doc_id, u`` rows of ``wanted``, from their texts."""
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(
-        wanted.select(F.col("doc_id").alias("_id")).distinct(), F.expr("doc_id <=> _id"))
+    """``u, set`` of the ``row, u`` rows of ``wanted``, from their texts."""
+    rows = docs.select("row", "text").join(wanted.select("row"), "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in texts.slices(batches, "text"):
@@ -139,8 +138,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                 pa.array([sets[offsets[k]:offsets[k + 1]].tobytes() for k in full], pa.binary()),
             ], ["u", "set"])
 
-    return rows.select("text").mapInArrow(run, "u binary, set binary").groupBy("u").agg(
-        F.any_value("set").alias("set"))
+    return rows.select("text").mapInArrow(run, "u binary, set binary")
 
 
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -152,21 +150,27 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
                 at = np.minimum(np.searchsorted(x, y), len(x) - 1)
                 size[i, j] = np.count_nonzero(x[at] == y)
         return size
-    a, b = np.concatenate(left), np.concatenate(right)
-    rows_a = np.repeat(np.arange(len(left)), [len(x) for x in left])
-    rows_b = np.repeat(np.arange(len(right)), [len(x) for x in right])
+    (rows_a, a), (rows_b, b) = (
+        (np.repeat(np.arange(len(sets)), [len(x) for x in sets]), np.concatenate(sets))
+        for sets in (left, right))
     both = np.intersect1d(a, b)
-    for start in range(0, len(both), _COLUMNS):
-        part = both[start:start + _COLUMNS]
 
-        def ones(values, rows, height):
-            at = np.minimum(np.searchsorted(part, values), len(part) - 1)
-            hit = part[at] == values
-            matrix = np.zeros((height, len(part)), np.float32)
-            matrix[rows[hit], at[hit]] = 1
-            return matrix
+    def shared(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and columns of the shingles that both sides have, by column."""
+        at = np.searchsorted(both, values)
+        hit = np.flatnonzero(both[np.minimum(at, len(both) - 1)] == values) if len(both) else at[:0]
+        order = hit[np.argsort(at[hit], kind="stable")]
+        return rows[order].astype(np.int32), at[order].astype(np.int32)
 
-        size += ones(a, rows_a, len(left)) @ ones(b, rows_b, len(right)).T
+    (rows_a, a), (rows_b, b) = shared(rows_a, a), shared(rows_b, b)
+    for start in range(0, len(both), _COLUMNS):
+        ones = []
+        for rows, columns, height in ((rows_a, a, len(left)), (rows_b, b, len(right))):
+            part = slice(*np.searchsorted(columns, (start, start + _COLUMNS)))
+            matrix = np.zeros((height, _COLUMNS), np.float32)
+            matrix[rows[part], columns[part] - start] = 1
+            ones.append(matrix)
+        size += ones[0] @ ones[1].T
     return size
 
 
@@ -250,18 +254,20 @@ def _by_task(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterat
 
 def links(docs: DataFrame, sketches: DataFrame, words: int, similarity: float, piece: int = PIECE
           ) -> tuple[DataFrame, DataFrame]:
-    """``units`` (one row per distinct set: ``u, doc_id, n_docs``) and ``found`` (``u, sets,
+    """``units`` (one row per distinct set: ``u, doc_id, row, n_docs``; the first row) and ``found`` (``u, sets,
     docs, root``: links judged in one task)."""
     units = write_step(sketches.where("u is not null").groupBy("u").agg(
-        F.min("doc_id").alias("doc_id"), F.count("*").alias("n_docs"),
-        F.any_value("trees").alias("trees")), "units")
+        F.min(F.struct("doc_id", "row")).alias("first"), F.count("*").alias("n_docs"),
+        F.max("n_shingles").alias("n_shingles"), F.any_value("trees").alias("trees")
+    ).select("u", "first.*", "n_docs", "n_shingles", "trees"), "units")
     buckets = write_step(_buckets(units), "buckets")
     rows = units.select("u", F.posexplode("trees").alias("tree", "prefix"))
     members = write_step(rows.join(buckets, ["tree", "prefix"]), "members")
     named = units.join(members.select("u").distinct(), "u", "left_semi")
     sets = write_step(
         named.join(_sets_of(docs, named, words), "u").select("u", "n_docs", "trees", "set"), "sets")
-    pieces = F.ceil(F.col("n") / piece).cast("int")
+    pieces = F.greatest(
+        F.ceil(F.col("n") / piece), F.ceil(F.col("size") / PIECE_SHINGLES)).cast("int")
     cut = members.withColumn("pieces", pieces).withColumn(
         "piece", F.pmod(F.xxhash64("u", F.lit(1)), F.col("pieces")).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
@@ -287,35 +293,48 @@ def links(docs: DataFrame, sketches: DataFrame, words: int, similarity: float, p
     return units, write_step(found, "links")
 
 
-def near_duplicates(
-    docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, recall: float = RECALL
-) -> DataFrame:
-    """``doc_id, class_id, n_links, n_text_links, is_first`` per row of ``docs``: the class,
-    the number of other rows at least ``similarity`` alike, of other shingle sets alike, and
-    whether the row is the one that stands for its class (the smallest doc_id)."""
+def _classes(rows: DataFrame, words: int, similarity: float, recall: float) -> DataFrame:
+    """``row, doc_id, class_id, class_row, n_links, n_text_links, n_shingles`` of ``rows`` (``row,
+    doc_id, text``); ``class_row`` is the first row of the class."""
     length = prefix_length(similarity, recall)
-    sketches = write_step(sketch(docs, words, length), "sketches")
-    units, found = links(docs, sketches, words, similarity)
+    sketches = write_step(sketch(rows, words, length), "sketches")
+    units, found = links(rows, sketches, words, similarity)
     group = components(found.select(F.col("u").alias("a"), F.col("root").alias("b")))
     counts = found.groupBy("u").agg(F.sum("sets").alias("sets"), F.sum("docs").alias("docs"))
-    named = units.select("u", "doc_id", "n_docs").join(
+    named = units.select("u", "doc_id", "row", "n_docs").join(
         group.select(F.col("node").alias("u"), "label"), "u", "left").join(counts, "u", "left")
     named = write_step(named.withColumn("label", F.coalesce("label", "u")), "named")
-    classes = named.groupBy("label").agg(F.min("doc_id").alias("class_id"))
+    classes = named.groupBy("label").agg(
+        F.min(F.struct("doc_id", "row")).alias("first"), F.min("doc_id").alias("class_id"))
     per_set = named.join(classes, "label").select(
-        "u", "class_id", (F.col("n_docs") - 1 + F.coalesce("docs", F.lit(0))).alias("n_links"),
+        "u", "class_id", F.col("first.row").alias("class_row"),
+        (F.col("n_docs") - 1 + F.coalesce("docs", F.lit(0))).alias("n_links"),
         F.coalesce("sets", F.lit(0)).alias("n_text_links"))
-    return sketches.select("doc_id", "u", "n_shingles").join(per_set, "u", "left").select(
+    return sketches.select("row", "doc_id", "u", "n_shingles").join(per_set, "u", "left")
+
+
+def near_duplicates(
+    docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, recall: float = RECALL
+) -> DataFrame:
+    """``doc_id, class_id, n_links, n_text_links, n_shingles`` per row of ``docs``: the class, the
+    number of other rows at least ``similarity`` alike, and of other shingle sets alike."""
+    row = texts.fresh("row")
+    found = _classes(texts.keyed(texts.with_row(docs, row), row), words, similarity, recall)
+    return found.select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.coalesce("n_text_links", F.lit(0)).alias("n_text_links"), "n_shingles")
 
 
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with all their columns and one row of each class: the smallest doc_id. Rows
-    without shingles, and rows without a doc_id, stay."""
-    found = near_duplicates(docs.where("doc_id is not null"), **options)
-    return texts.without(docs, found.where("class_id <> doc_id").select("doc_id"))
+def drop_near_duplicates(
+    docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, recall: float = RECALL
+) -> DataFrame:
+    """``docs`` with all their columns and one row of each class: the smallest doc_id (a null one
+    first), of equal ones the first row. Rows without shingles stay."""
+    row = texts.fresh("row")
+    docs = texts.with_row(docs, row)
+    found = _classes(texts.keyed(docs, row), words, similarity, recall)
+    return texts.without(docs, row, found.where("class_row <> row").select("row"))
 
 
 def op7_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,9 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from basketry.llm import shingles
+from basketry.llm import shingles, texts
 from basketry.llm.components import components
 from tests.llm import fixtures
 
@@ -52,8 +53,8 @@ def test_groups_against_brute_force(spark):
 
 def test_large_buckets_are_cut_without_loss(spark):
     base = fixtures.prose(30, 150)
-    texts = [fixtures.change(base, 100, k) for k in range(40)]
-    docs = fixtures.table(spark, texts)
+    docs = fixtures.table(spark, [fixtures.change(base, 100, k) for k in range(40)])
+    docs = texts.keyed(texts.with_row(docs, "row"), "row")
     sketches = shingles.sketch(docs, 5, shingles.prefix_length())
     whole = shingles.links(docs, sketches, 5, 0.8)[1]
     cut = shingles.links(docs, sketches, 5, 0.8, piece=7)[1]
@@ -98,3 +99,29 @@ def test_components(spark):
     got = components(spark.createDataFrame(pairs, "a long, b long"))
     assert {r["node"]: r["label"] for r in got.collect()} == label
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_rows_of_one_doc_id_are_documents_of_their_own(spark):
+    base, other = fixtures.prose(20, 60), fixtures.prose(21, 60)
+    docs = fixtures.table(spark, [base, base, base, base, other, other, None, None],
+                          [1, 1, None, None, 1, 2, 1, None])
+    kept = [(r["doc_id"], r["text"]) for r in shingles.drop_near_duplicates(docs).collect()]
+    assert sorted(kept, key=str) == sorted(
+        [(None, base), (1, other), (1, None), (None, None)], key=str)
+
+
+def test_pieces_of_few_shingles_give_the_same_links(spark, monkeypatch):
+    base = fixtures.prose(22, 300)
+    docs = fixtures.table(spark, [fixtures.change(base, 60, k) for k in range(30)])
+    key = lambda: sorted(map(tuple, shingles.near_duplicates(docs).collect()))
+    whole = key()
+    monkeypatch.setattr(shingles, "PIECE_SHINGLES", 1000)
+    assert key() == whole and all(r[2] > 0 for r in whole)
+
+
+def test_overlaps_of_many_sets():
+    rnd = np.random.default_rng(5)
+    left, right = ([np.unique(rnd.integers(0, 9000, n, dtype=np.uint64)) for n in sizes]
+                   for sizes in ((1, 50, 3000, 0, 700), (20, 8000, 5, 900)))
+    want = [[len(np.intersect1d(x, y)) for y in right] for x in left]
+    assert shingles._overlaps(left, right).tolist() == want
