@@ -34,7 +34,7 @@ WINDOW = 13
 BLOCK_BYTES = 16 << 20
 
 _HITS = (
-    "row long, n_words long, spans array<struct<start:int,end:int>>, items array<string>, "
+    "n_words long, spans array<struct<start:int,end:int>>, items array<string>, "
     "longest array<struct<item_id:string,item_start:int,doc_start:int,n_words:int>>"
 )
 
@@ -183,7 +183,7 @@ def _search_shard(raw, offsets, rows: pa.Array, wanted: Suffixes, window: int) -
                 "item_id": wanted.names[wanted.item[k]], "item_start": int(wanted.first[k]),
                 "doc_start": int(p - shard.base[d]), "n_words": int(n)})
     schema = pa.schema([
-        ("row", pa.int64()), ("n_words", pa.int64()),
+        ("row", rows.type), ("n_words", pa.int64()),
         ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
         ("items", pa.list_(pa.string())),
         ("longest", pa.list_(pa.struct([
@@ -209,11 +209,13 @@ def _blocks(benchmark: DataFrame, limit: int) -> tuple[DataFrame, int]:
 
 
 def matches(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+    key: str = "doc_id",
 ) -> DataFrame:
-    """Per row of ``docs``: ``doc_id, n_words``, ``spans`` of hit words, ``items`` with an
+    """Per row of ``docs``: ``doc_id`` (or the column ``key`` that names rows), ``n_words``, ``spans`` of hit words, ``items`` with an
     occurring window (distinct, sorted) and the ``longest`` matches."""
     text = F.col("text").cast("string")
+    name = F.col("doc_id").cast("long") if key == "doc_id" else F.col(key)
     items, n_blocks = _blocks(benchmark, block_bytes)
     spark = docs.sparkSession
 
@@ -226,14 +228,12 @@ def matches(
                 raw, offsets = texts.utf8(part[1])
                 yield _search_shard(raw, offsets, part[0], shared.value, window)
 
-        return rows.mapInArrow(run, _HITS)
+        return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, {_HITS}")
 
     if n_blocks == 1:
-        rows = docs.select(F.col("doc_id").cast("long").alias("row"), text.alias("text"))
-        return search(rows, 0).withColumnRenamed("row", "doc_id")
+        return search(docs.select(name.alias("row"), text.alias("text")), 0).withColumnRenamed("row", key)
     rows = cut_lineage(docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"),
-        text.alias("text")))
+        F.monotonically_increasing_id().alias("row"), name.alias(key), text.alias("text")))
     found = None
     for block in range(n_blocks):
         part = search(rows.select("row", "text"), block)
@@ -242,8 +242,8 @@ def matches(
         F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"),
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
         F.flatten(F.collect_list("longest")).alias("longest"))
-    return rows.select("row", "doc_id").join(merged, "row").select(
-        "doc_id", "n_words", _merged("spans").alias("spans"), "items", "longest")
+    return rows.select("row", key).join(merged, "row").select(
+        key, "n_words", _merged("spans").alias("spans"), "items", "longest")
 
 
 def _merged(spans: str):
@@ -273,8 +273,10 @@ def remove_contaminated(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW
 ) -> DataFrame:
     """``docs`` with all their columns, without the rows whose text is contaminated."""
-    bad = judge(matches(docs, benchmark, window)).where("contaminated")
-    return texts.without(docs, bad.select("doc_id"))
+    row = texts.fresh("row")
+    docs = texts.with_row(docs, row)
+    bad = judge(matches(docs, benchmark, window, key=row)).where("contaminated")
+    return texts.without(docs, row, bad.select(row))
 
 
 def op4_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -170,11 +170,14 @@ def held_out() -> Column:
 
 def reject_unknown(docs: DataFrame) -> DataFrame:
     """``docs`` with all their columns, without the texts that have no language. The model is
-    learned from the rows that are not held out."""
+    learned from the rows that are not held out; where it knows no language, texts with a letter
+    stay."""
+    model = train(docs.where(~held_out()))
+    if not model.names:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     columns = docs.columns
     named = docs.select(*(docs[c].alias(f"c{k}") for k, c in enumerate(columns)), docs["text"])
-    found = predict(named, train(docs.where(~held_out())),
-                    [F.col(f"c{k}") for k in range(len(columns))])
+    found = predict(named, model, [F.col(f"c{k}") for k in range(len(columns))])
     return found.where(F.col("lang_pred") != UNKNOWN).select(
         *(F.col(f"c{k}").alias(c) for k, c in enumerate(columns)))
 

@@ -75,3 +75,12 @@ def test_empty_tables(spark):
     got = decontamination.judge(decontamination.matches(fixtures.edges(spark), no_items))
     assert got.where("contaminated").count() == 0
     assert got.count() == fixtures.edges(spark).count()
+
+
+def test_rows_of_one_doc_id_are_judged_for_themselves(spark):
+    passage, clean = fixtures.prose(30, 40), [fixtures.prose(31 + k, 40) for k in range(2)]
+    docs = fixtures.table(spark, [passage, clean[0], passage, clean[1]], [1, 1, None, None])
+    items = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    kept = decontamination.remove_contaminated(docs, items)
+    assert kept.columns == docs.columns
+    assert sorted(r["text"] for r in kept.collect()) == sorted(clean)

@@ -73,3 +73,9 @@ def test_reject_keeps_columns_and_languages(spark):
     assert kept.exceptAll(docs).count() == 0
     assert {0, 1, 2, 3, 4}.isdisjoint({r["doc_id"] for r in kept.collect()})
     assert kept.count() == docs.count() - 5
+
+
+def test_texts_with_letters_stay_without_a_model(spark):
+    docs = fixtures.table(spark, ["some words", "123", None, ""], [1, 2, 3, 4]).withColumn(
+        "lang", F.lit(None).cast("string"))
+    assert [r["doc_id"] for r in languages.reject_unknown(docs).collect()] == [1]
