@@ -13,6 +13,7 @@ BATCH_JOBS = {
     "content": jobs.content_job,
     "itemcf": jobs.itemcf_job,
     "lockouts": jobs.lockout_job,
+    "compact": jobs.compact_job,
 }
 #: Jobs that store the rows of a Parquet folder given with ``--requests``.
 REQUEST_JOBS = {
@@ -48,6 +49,10 @@ def main(argv: list[str] | None = None) -> None:
         stream = sub.add_parser(name, help=job.__doc__)
         stream.add_argument("--base", required=True)
         _stream_arguments(stream)
+    rejects = sub.add_parser("rejects", help=jobs.rejects_stream.__doc__)
+    rejects.add_argument("--base", required=True)
+    rejects.add_argument("--stream", required=True, choices=sorted(jobs.PARSERS))
+    _stream_arguments(rejects)
     passing = sub.add_parser("relay", help=jobs.relay_stream.__doc__)
     passing.add_argument("--servers", required=True)
     _stream_arguments(passing)
@@ -66,6 +71,11 @@ def main(argv: list[str] | None = None) -> None:
         options = dict(o.split("=", 1) for o in args.option)
         if args.job == "relay":
             query = jobs.relay_stream(spark, args.source, options, args.servers, args.checkpoint)
+        elif args.job == "rejects":
+            query = jobs.rejects_stream(
+                spark, args.source, options, args.base, args.checkpoint, args.stream,
+                every=None if args.once else "3 seconds",
+            )
         else:
             every = None if args.once else "3 seconds"
             query = STREAM_JOBS[args.job](

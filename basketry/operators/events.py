@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.dates import duration_seconds, second_label
@@ -127,6 +127,17 @@ def uv_running(
 
 # --- login alerts ------------------------------------------------------------------------
 
+def bucket_span(limit: int) -> int:
+    """Length of a time bucket, in microseconds like ``limit``."""
+    return max(3600 * _MICROS, 4 * limit)
+
+
+def buckets_of(at: Column, limit: int, span: int) -> Column:
+    """The time bucket of a row, and the next one if the row is near enough to matter there."""
+    own = F.floor(at / span)
+    return F.when(at >= (own + 1) * span - limit, F.array(own, own + 1)).otherwise(F.array(own))
+
+
 def login_alerts(
     events: DataFrame, within: str = "2 minutes", tie: str = "event_id"
 ) -> DataFrame:
@@ -137,13 +148,11 @@ def login_alerts(
     bucket also receives the events of the one before it that are still near enough to matter.
     """
     limit = duration_seconds(within) * _MICROS
-    bucket = max(3600 * _MICROS, 4 * limit)
+    span = bucket_span(limit)
     at = F.unix_micros("ts")
-    own = F.floor(at / bucket)
-    near_end = at >= (own + 1) * bucket - limit
     rows = events.select(
-        "user_id", "event_type", "ts", F.col(tie).alias("tie"), own.alias("own"),
-        F.explode(F.when(near_end, F.array(own, own + 1)).otherwise(F.array(own))).alias("bucket"),
+        "user_id", "event_type", "ts", F.col(tie).alias("tie"), F.floor(at / span).alias("own"),
+        F.explode(buckets_of(at, limit, span)).alias("bucket"),
     )
     order = Window.partitionBy("user_id", "bucket").orderBy("ts", "tie")
     adjacent = rows.withColumn(

@@ -5,18 +5,27 @@ rated. Each is scored against the user's recent ratings. Everything is set-wise
 of a batch; no row is looked up on its own.
 
 Similarities come either flat (``product_id, other_id, score``) or between profiles, with
-``members`` saying which profile each product belongs to (see ``operators.content``).
+``members`` saying which profile each product belongs to (see ``operators.content``). They, and
+the rated products, are tables or functions from keys (one column) to rows that hold all of these
+keys' rows, so that a store with buckets is read where the batch needs it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.operators.lists import top_k
-from basketry.runtime import small_side
+from basketry.runtime import cut_lineage, small_side
+
+Lookup = DataFrame | Callable[[DataFrame], DataFrame]
+
+
+def rows_of(table: Lookup, keys: DataFrame) -> DataFrame:
+    """Rows of ``table`` that hold all rows of ``keys``."""
+    return table(keys) if callable(table) else table
 
 
 def newest_per_user(ratings: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
@@ -42,8 +51,8 @@ def _near(sims: DataFrame, members: DataFrame | None) -> DataFrame:
 
 def candidates(
     current: DataFrame,
-    near: DataFrame,
-    rated: DataFrame,
+    sims: Lookup,
+    rated: Lookup,
     members: DataFrame | None,
     k: int,
     exclude_rated: bool,
@@ -55,33 +64,38 @@ def candidates(
     are filtered where they lie instead of being shuffled.
     """
     now = _profile_of(current, "product_id", "profile", members)
-    own = rated.select("user_id", "product_id").join(
-        small_side(current.select("user_id"), users), "user_id", "left_semi"
+    asking = current.select("user_id")
+    own = rows_of(rated, asking).select("user_id", "product_id").join(
+        small_side(asking, users), "user_id", "left_semi"
     ).distinct()
     # A user's rated products can push at most that many entries out of a list, plus the
-    # product itself, so a list need not be read beyond this position.
-    known = own.groupBy("user_id").agg(F.count(F.lit(1)).alias("known"))
-    most = known.agg(F.max("known")).first()[0] or 0
-    reach = k + 1 + (most if exclude_rated else 0)
-
-    asked = near.join(
-        small_side(now.select("profile").distinct(), users), "profile", "left_semi"
-    )
+    # product itself. A list is read as deep as the users who ask for it need.
+    reach = F.lit(k + 1)
+    if exclude_rated:
+        known = own.groupBy("user_id").agg(F.count(F.lit(1)).alias("known"))
+        now = now.join(known, "user_id", "left")
+        reach = reach + F.coalesce("known", F.lit(0))
+    now = now.withColumn("reach", reach)
+    depth = now.groupBy("profile").agg(F.max("reach").alias("depth"))
+
+    wanted = now.select("profile").distinct()
+    asked = _near(rows_of(sims, wanted), members).join(small_side(depth, users), "profile")
     if members is None:
-        listed = asked.select("profile", "score", F.col("other").alias("candidate"), "other")
+        listed = asked.withColumn("candidate", F.col("other"))
     else:
-        leading = top_k(
-            members.select(F.col("profile").alias("other"), F.col("product_id").alias("candidate"))
-            .join(asked.select("other").distinct(), "other", "left_semi"),
-            "other", [F.asc("candidate")], reach,
-        ).drop("rank")
+        # Of each similar profile, as many members as the deepest list that needs them.
+        deepest = asked.groupBy("other").agg(F.max("depth").alias("most"))
+        among = Window.partitionBy("other").orderBy(F.asc("candidate"))
+        leading = members.select(
+            F.col("profile").alias("other"), F.col("product_id").alias("candidate")
+        ).join(deepest, "other").withColumn("place", F.row_number().over(among)).where(
+            F.col("place") <= F.col("most")).select("other", "candidate")
         listed = asked.join(leading, "other")
-    listed = top_k(listed, "profile", [F.desc("score"), F.asc("candidate")], reach)
+    order = Window.partitionBy("profile").orderBy(F.desc("score"), F.asc("candidate"))
+    listed = listed.withColumn("rank", F.row_number().over(order)).where(
+        F.col("rank") <= F.col("depth"))
 
-    now = now.join(known, "user_id", "left").withColumn(
-        "reach", F.lit(k + 1) + (F.coalesce("known", F.lit(0)) if exclude_rated else F.lit(0))
-    )
-    found = now.join(listed, "profile").where(
+    found = now.join(listed.drop("depth"), "profile").where(
         (F.col("rank") <= F.col("reach")) & (F.col("candidate") != F.col("product_id"))
     ).select("user_id", "candidate", F.col("other").alias("candidate_profile"), "score")
     if exclude_rated:
@@ -94,8 +108,8 @@ def candidates(
 def online_recs(
     current: DataFrame,
     recent: DataFrame,
-    sims: DataFrame,
-    rated: DataFrame,
+    sims: Lookup,
+    rated: Lookup,
     members: DataFrame | None = None,
     n: int = 20,
     k: int = 20,
@@ -112,9 +126,12 @@ def online_recs(
     minus log10 of the number of others. A candidate without such a rating is left out.
     The mean is summed in decimals, so it does not depend on the order of the rows.
     """
-    near = _near(sims, members)
     users = current.count()
-    chosen = candidates(current, near, rated, members, k, exclude_rated, users)
+    chosen = candidates(current, sims, rated, members, k, exclude_rated, users)
+    if callable(sims):
+        # The keys of the second look-up come from the first.
+        chosen = cut_lineage(chosen, "candidates")
+    near = _near(rows_of(sims, chosen.select("candidate_profile").distinct()), members)
     history = _profile_of(
         recent.where(F.col("rank") <= n).select(
             "user_id", F.col("product_id").alias("rated"), F.col("score").alias("rating")

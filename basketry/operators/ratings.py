@@ -43,14 +43,16 @@ def identified(requests: DataFrame, user: DataFrame) -> DataFrame:
     )
 
 
+def log_lines(new: DataFrame, prefix: str = RATING_PREFIX) -> DataFrame:
+    """``value``: the log line of each rating."""
+    return new.select(rating_log_line(
+        F.col("user_id"), F.col("product_id"), F.col("score"), F.col("ts"), prefix
+    ).alias("value"))
+
+
 def submit_ratings(
     requests: DataFrame, user: DataFrame, rating: DataFrame, prefix: str = RATING_PREFIX
 ) -> tuple[DataFrame, DataFrame]:
     """(rating table after the requests, their log lines as ``value``)."""
     new = identified(requests, user)
-    lines = new.select(
-        rating_log_line(
-            F.col("user_id"), F.col("product_id"), F.col("score"), F.col("ts"), prefix
-        ).alias("value")
-    )
-    return upsert_ratings(rating, new), lines
+    return upsert_ratings(rating, new), log_lines(new, prefix)

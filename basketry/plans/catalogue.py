@@ -305,10 +305,12 @@ def uv_approx(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def uv_approx_close(spark: SparkSession, sf: str) -> DataFrame:
-    """Is the sketch within 15 % of the exact count, hour by hour?"""
+    """Is the sketch within 15 % of the exact count, or within one visitor, hour by hour? Of a
+    few visitors one may share its place in the sketch with another."""
     exact = uv_hourly(spark, sf).withColumnRenamed("count", "exact")
     return uv_approx(spark, sf).join(exact, ["start", "end"]).select(
-        "start", "end", (F.abs(F.col("count") - F.col("exact")) <= 0.15 * F.col("exact")).alias("close"))
+        "start", "end", (F.abs(F.col("count") - F.col("exact")) <= F.greatest(
+            F.lit(1.0), 0.15 * F.col("exact"))).alias("close"))
 
 
 def uv_running(spark: SparkSession, sf: str) -> DataFrame:

@@ -78,7 +78,7 @@ def stream_online_recs(spark: SparkSession, sf: str) -> DataFrame:
     members, near = catalogue.content_near(spark, sf)
     rated = catalogue.rated_products(spark, sf)
     out = _run(spark, "online", lambda base, cp: recommend.start_online_recs(
-        stream, lambda: near, lambda: rated, base, cp, members=lambda: members, every=None))
+        stream, lambda keys: near, lambda keys: rated, base, cp, members=lambda: members, every=None))
     lists = tables.read_replaced(spark, "stream_recs", out, "user_id")
     return catalogue.flat_lists(lists)
 

@@ -64,10 +64,11 @@ def _split_ok(rows: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame
 def parse_rating(
     lines: DataFrame, sep: str = "|", unit: str = "s"
 ) -> tuple[DataFrame, DataFrame]:
-    """``user|product|score|epoch`` lines -> (ratings, rejected lines)."""
+    """``user|product|score|epoch`` lines -> (ratings, rejected lines). Columns besides ``value``
+    stay with the parsed rows, here and below."""
     value = F.col("value")
     rows = lines.select(
-        "value",
+        "*",
         checks.try_long(text.field(value, sep, 0)).alias("user_id"),
         checks.try_long(text.field(value, sep, 1)).alias("product_id"),
         checks.try_double(text.field(value, sep, 2)).alias("score"),
@@ -80,7 +81,7 @@ def parse_login(lines: DataFrame, sep: str = "|", unit: str = "ms") -> tuple[Dat
     """``user|ip|event type|epoch`` lines -> (login events, rejected lines)."""
     value = F.col("value")
     rows = lines.select(
-        "value",
+        "*",
         checks.try_long(text.field(value, sep, 0)).alias("user_id"),
         text.field(value, sep, 1).alias("ip"),
         text.field(value, sep, 2).alias("event_type"),
@@ -95,7 +96,7 @@ def parse_behavior(
     """``user,product,category,event type,epoch`` lines -> (behaviour, rejected lines)."""
     value = F.col("value")
     rows = lines.select(
-        "value",
+        "*",
         checks.try_long(text.field(value, sep, 0)).alias("user_id"),
         checks.try_long(text.field(value, sep, 1)).alias("product_id"),
         text.field(value, sep, 2).alias("category"),

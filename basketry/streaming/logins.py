@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from basketry.functions.dates import duration_seconds
-from basketry.operators.events import alert_rows, lockout_until
+from basketry.operators.events import alert_rows, bucket_span, buckets_of, lockout_until
 from basketry.sources.streams import start, with_event_time
 from basketry.sources.tables import write_batch
 
@@ -18,15 +18,17 @@ _STATE = "micros bigint, tie bigint, failed boolean"
 
 
 class AdjacentFailures(StatefulProcessor):
-    """Pairs of failed logins with no other login of the user in between.
+    """Pairs of failed logins with no other login of the user in between, inside one time bucket.
 
     Rows wait in state until the watermark has passed them, because an earlier row may still
-    arrive; then they are walked through in time order. State per user: the rows waiting and
-    the last row walked over, which goes when the user has been idle for longer than the limit.
+    arrive; then they are walked through in time order. The rows of the bucket before that are
+    near enough to matter are handed to the bucket as well; only its own rows give a pair. State
+    per user and bucket: the rows waiting and the last row walked over, which goes when no row of
+    the bucket can follow it.
     """
 
-    def __init__(self, limit_seconds: int) -> None:
-        self.limit = limit_seconds * 1_000_000
+    def __init__(self, limit: int, span: int) -> None:
+        self.limit, self.span = limit, span
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -53,13 +55,15 @@ class AdjacentFailures(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         now = timerValues.getCurrentWatermarkInMs() * 1000
+        user, bucket = key
         rows = sorted(tuple(r) for r in self.waiting.get()) if self.waiting.exists() else []
         due = [r for r in rows if r[0] < now]
         later = rows[len(due):]
         before = tuple(self.last.get()) if self.last.exists() else None
         found = []
         for row in due:
-            if row[2] and before and before[2] and row[0] - before[0] < self.limit:
+            if (row[2] and before and before[2] and row[0] - before[0] < self.limit
+                    and row[0] // self.span == bucket):
                 found.append(row[0])
             before = row
         if later:
@@ -67,14 +71,16 @@ class AdjacentFailures(StatefulProcessor):
             self._wake_at(later[0][0])
         else:
             self.waiting.clear()
-        if before is not None and before[0] + self.limit >= now:
+        # The last row counts while one of the bucket within the limit may come.
+        until = min(before[0] + self.limit, (bucket + 1) * self.span) if before else 0
+        if before is not None and until >= now:
             self.last.update(before)
             if not later:
-                self._wake_at(before[0] + self.limit)  # to forget an idle user
+                self._wake_at(until)  # to forget an idle user
         elif self.last.exists():
             self.last.clear()
         if found:
-            yield pd.DataFrame({"user_id": [key[0]] * len(found), "micros": found})
+            yield pd.DataFrame({"user_id": [user] * len(found), "micros": found})
 
     def close(self) -> None:
         pass
@@ -83,13 +89,17 @@ class AdjacentFailures(StatefulProcessor):
 def login_alerts_stream(
     stream: DataFrame, within: str = "2 minutes", tie: str = "event_id", delay: str = "0 seconds"
 ) -> DataFrame:
-    """Streaming form of ``login_alerts``: ``user_id, ts, time, message``."""
+    """Streaming form of ``login_alerts``: ``user_id, ts, time, message``. State and timers are
+    per user and time bucket, so no call holds more of a user than one bucket."""
+    limit = duration_seconds(within) * 1_000_000
+    span = bucket_span(limit)
     timed = with_event_time(stream, "ts", delay).select(
         "user_id", "ts", F.unix_micros("ts").alias("micros"), F.col(tie).alias("tie"),
         (F.col("event_type") == "fail").alias("failed"),
     )
-    pairs = timed.groupBy("user_id").transformWithStateInPandas(
-        statefulProcessor=AdjacentFailures(duration_seconds(within)),
+    timed = timed.withColumn("bucket", F.explode(buckets_of(F.col("micros"), limit, span)))
+    pairs = timed.groupBy("user_id", "bucket").transformWithStateInPandas(
+        statefulProcessor=AdjacentFailures(limit, span),
         outputStructType="user_id long, micros long",
         outputMode="append",
         timeMode="eventTime",
@@ -105,12 +115,18 @@ def start_login_alerts(
     minutes: int = 30,
     tie: str = "event_id",
     every: str | None = "3 seconds",
+    lock: Callable[[DataFrame], None] | None = None,
 ) -> StreamingQuery:
-    """Write alerts to ``login_warn`` and the lockouts they cause to ``lockout``, per batch."""
+    """Write alerts to ``login_warn`` and the lockouts they cause to ``lockout``, per batch;
+    ``lock`` gets the lockouts (``user_id, no_login_until``) of each batch that has any. A batch
+    that is tried again locks the same users until the same time."""
     def save(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         write_batch(batch, "login_warn", base, batch_id)
-        write_batch(lockout_until(batch, minutes), "lockout", base, batch_id)
+        lockouts = lockout_until(batch, minutes)
+        write_batch(lockouts, "lockout", base, batch_id)
+        if lock is not None and not batch.isEmpty():
+            lock(lockouts)
         batch.unpersist()
 
     return start(

@@ -86,6 +86,93 @@ def test_batches_replace_by_key_and_survive_a_retry(spark, tmp_path):
     tables.write_batch(batch((1, "c"), (3, "d")), "t", base, 1)
     want = [(1, "c"), (2, "b"), (3, "d")]
     assert rows(tables.read_replaced(spark, "t", base, "user_id"), "user_id", "v") == want
-    tables.compact_batches(spark, "t", base, "user_id", "t2")
-    assert rows(tables.read_replaced(spark, "t2", base, "user_id"), "user_id", "v") == want
-    assert spark.read.parquet(base + "/t2").count() == 3
+    tables.compact_batches(spark, "t", base, "user_id")
+    assert rows(tables.read_replaced(spark, "t", base, "user_id"), "user_id", "v") == want
+    assert spark.read.parquet(base + "/t_snapshot").count() == 3
+
+
+def _batches(spark, base, *numbers):
+    for n in numbers:
+        frame = spark.createDataFrame([(k, f"{n}") for k in (0, n)], "user_id long, v string")
+        tables.write_batch(frame, "t", base, n)
+
+
+def _now(spark, base):
+    return rows(tables.read_replaced(spark, "t", base, "user_id"), "user_id", "v")
+
+
+def test_batches_between_and_after_compactions(spark, tmp_path):
+    base = str(tmp_path)
+    present = lambda: sorted(p.name for p in (tmp_path / "t").glob("batch_id=*"))
+    _batches(spark, base, 1, 2)
+    want = [(0, "2"), (1, "1"), (2, "2")]
+    assert _now(spark, base) == want
+    before = tables.read_replaced(spark, "t", base, "user_id")
+    tables.compact_batches(spark, "t", base, "user_id")
+    assert _now(spark, base) == want and rows(before, "user_id", "v") == want
+    _batches(spark, base, 3)
+    want = [(0, "3"), *want[1:], (3, "3")]
+    assert _now(spark, base) == want
+    tables.compact_batches(spark, "t", base, "user_id")
+    assert present() == ["batch_id=3"] and _now(spark, base) == want
+    tables.compact_batches(spark, "t", base, "user_id")  # nothing new
+    assert _now(spark, base) == want
+    # A batch that is tried again after it was folded does not come back.
+    _batches(spark, base, 2)
+    assert _now(spark, base) == want
+
+
+def test_compaction_that_dies_half_way(spark, tmp_path):
+    base = str(tmp_path)
+    _batches(spark, base, 1, 2)
+    tables.compact_batches(spark, "t", base, "user_id")
+    _batches(spark, base, 3)
+    want = _now(spark, base)
+    half = spark.createDataFrame([(0, "half")], "user_id long, v string")
+    half.write.parquet(f"{base}/t_snapshot/upto=3")
+    (tmp_path / "t_snapshot" / "upto=3" / "_SUCCESS").unlink()
+    assert _now(spark, base) == want
+    tables.compact_batches(spark, "t", base, "user_id")
+    assert _now(spark, base) == want
+    assert (tmp_path / "t_snapshot" / "upto=3" / "_SUCCESS").exists()
+
+
+def _pairs(spark, n=400):
+    return spark.range(n).selectExpr("id AS product_id", "id * 7 % 100 AS other_id", "0.5D AS score")
+
+
+def test_look_ups_read_only_their_buckets(spark, tmp_path):
+    base = str(tmp_path)
+    tables.write_buckets(_pairs(spark), "sims", base, "product_id", ["product_id", "other_id"])
+    keys = spark.createDataFrame([(3,), (4,)], "k long")
+    found = tables.read_buckets(spark, "sims", base, keys)
+    assert rows(found.where("product_id IN (3, 4)")) == rows(_pairs(spark).where("product_id IN (3, 4)"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in plan or "PartitionFilters: [isnotnull(bucket" in plan
+    read = found.select(F.input_file_name()).distinct().count()
+    assert 0 < read <= 2 < len(spark.read.parquet(f"{base}/sims").inputFiles())
+    assert rows(tables.read_buckets(spark, "sims", base)) == rows(_pairs(spark))
+    assert tables.read_buckets(spark, "sims", base, keys.limit(0)).count() == 0
+
+
+def test_changes_leave_other_buckets_alone(spark, tmp_path):
+    base = str(tmp_path)
+    tables.write_buckets(_pairs(spark), "sims", base, "product_id")
+    names = lambda: {p.relative_to(tmp_path) for p in (tmp_path / "sims").rglob("*.parquet")}
+    before = names()
+
+    def merge(old, new):
+        return old.join(new, "product_id", "left_anti").unionByName(new)
+
+    changes = spark.createDataFrame([(3, 1, 0.9), (9999, 2, 0.1)], "product_id long, other_id long, score double")
+    tables.change_buckets(changes, merge, "sims", base, "product_id")
+    touched = {str(p.parent) for p in before - names()}
+    assert len(touched) <= 2 and len(before & names()) >= len(before) - 2
+    want = rows(_pairs(spark).where("product_id <> 3").unionByName(changes))
+    assert rows(tables.read_buckets(spark, "sims", base)) == want
+    # A table without buckets gets them.
+    tables.write_snapshot(_pairs(spark), "flat", base)
+    tables.change_buckets(changes, merge, "flat", base, "product_id")
+    assert rows(tables.read_buckets(spark, "flat", base)) == want
+    tables.append_buckets(changes, "flat", base, "product_id")
+    assert tables.read_buckets(spark, "flat", base).count() == len(want) + 2

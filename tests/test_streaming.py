@@ -124,14 +124,17 @@ def test_online_recs(spark, feed):
         "product_id long, other_id long, score double")
     none = spark.createDataFrame([(1, 3)], "user_id long, product_id long")
     drive(feed, parts, lambda: recommend.start_online_recs(
-        feed.stream(), lambda: sims, lambda: none, feed.base, feed.checkpoint, every=None))
+        feed.stream(), lambda keys: sims, lambda keys: none, feed.base, feed.checkpoint,
+        every=None))
     lists = tables.read_replaced(spark, "stream_recs", feed.base, "user_id")
     # The closing row rates a product nothing is similar to: an empty list, not a missing one.
     assert lists.where("user_id = 77").first()["recs"] == []
     frame = feed.batch(data)
+    # What the queue holds was rated, stored or not.
+    queued = ratings.recent_ratings(frame, 40, ("event_id",)).select("user_id", "product_id")
     want = online.online_recs(
         online.newest_per_user(frame, ("event_id",)),
-        ratings.recent_ratings(frame, 20, ("event_id",)), sims, none)
+        ratings.recent_ratings(frame, 20, ("event_id",)), sims, none.union(queued))
     got = lists.select("user_id", F.posexplode("recs").alias("pos", "r")).select(
         "user_id", F.col("pos") + 1, "r.product_id", "r.score")
     assert rows(got) == rows(want)
@@ -153,3 +156,68 @@ def test_relay(spark, tmp_path):
 def test_unknown_source(spark):
     with pytest.raises(ValueError):
         streams.read_lines_stream(spark, "carrier pigeon")
+
+
+def test_a_new_checkpoint_starts_with_the_stored_ratings(spark, feed):
+    data, parts = sample(7)
+    stored = feed.batch(data[:120]).select("user_id", "product_id", "score", "ts")
+    for part in (data[120:180], data[180:]):
+        feed.add(part)
+    recommend.start_recent_ratings(
+        feed.stream(), feed.base, feed.checkpoint, n=6, every=None, stored=stored
+    ).awaitTermination()
+    got = recommend.queue_rows(tables.read_replaced(spark, "recent_queue", feed.base, "user_id"))
+    arrived = [r[1] for r in data[120:]]
+    # Only users of the stream come out; one row of each time.
+    want = ratings.recent_ratings(feed.batch(data), 6, ("event_id",)).where(
+        F.col("user_id").isin(arrived))
+    assert rows(got) == rows(want)
+
+
+def test_the_later_message_of_one_time_wins(spark, tmp_path):
+    at = 1588830898
+    lines = [(f"1|{p}|{float(p % 5 + 1)}|{at}", 3, offset) for p, offset in ((7, 12), (9, 10), (8, 11))]
+    source = spark.createDataFrame(lines, "value string, partition int, offset long")
+    parsed, bad = files.parse_rating(source.union(spark.createDataFrame([("bad", 3, 13)], source.schema)))
+    ordered = parsed.withColumn("event_id", streams.message_order(F.col("partition"), F.col("offset")))
+    assert bad.select("value").first()["value"] == "bad"
+    ordered.drop("partition", "offset").coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(ordered.drop("partition", "offset").schema).parquet(str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    recommend.start_recent_ratings(
+        stream, out, str(tmp_path / "cp"), n=2, every=None).awaitTermination()
+    queue = tables.read_replaced(spark, "recent_queue", out, "user_id").first()["queue"]
+    assert [e["product_id"] for e in queue] == [7, 8]
+
+
+def test_login_state_is_split_by_time(spark, feed, monkeypatch):
+    """No call sees rows of more than one bucket and the last minutes before it."""
+    class Watched(logins.AdjacentFailures):
+        def handleInputRows(self, key, rows, timerValues):
+            frames = list(rows)
+            for frame in frames:
+                inside = frame["micros"].between(
+                    key[1] * self.span - self.limit, (key[1] + 1) * self.span - 1)
+                assert inside.all()
+            return super().handleInputRows(key, iter(frames), timerValues)
+
+    monkeypatch.setattr(logins, "AdjacentFailures", Watched)
+    data = [(i, 1, 0, "fail", 1.0, START + datetime.timedelta(seconds=50 * i)) for i in range(400)]
+    drive(feed, [data[k * 100:(k + 1) * 100] for k in range(4)], lambda: logins.start_login_alerts(
+        feed.stream(), feed.base, feed.checkpoint, every=None))
+    assert tables.read_table(spark, "login_warn", feed.base).count() == 399
+
+
+def test_alerts_across_buckets(spark, feed):
+    data = [(i, 1 + i % 2, 0, "fail", 1.0, START + datetime.timedelta(seconds=40 * i))
+            for i in range(400)]
+    parts = [data[k * 100:(k + 1) * 100] for k in range(4)]
+    locked = []
+    drive(feed, parts, lambda: logins.start_login_alerts(
+        feed.stream(), feed.base, feed.checkpoint, every=None,
+        lock=lambda lockouts: locked.extend(rows(lockouts))))
+    want = events.login_alerts(feed.batch(data), "2 minutes")
+    assert want.count() == 398
+    got = tables.read_table(spark, "login_warn", feed.base)
+    assert rows(got, "user_id", "ts") == rows(want, "user_id", "ts")
+    assert max(locked) == max(rows(events.lockout_until(want)))
