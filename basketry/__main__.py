@@ -24,6 +24,8 @@ REQUEST_JOBS = {
 STREAM_JOBS = {
     "hot-items": jobs.hot_items_stream,
     "visitors": jobs.visitors_stream,
+    "visitor-pages": jobs.visitor_pages_stream,
+    "visitor-sketches": jobs.visitor_sketches_stream,
     "logins": jobs.logins_stream,
     "online": jobs.online_stream,
 }

@@ -9,6 +9,7 @@ or only the best ``k`` per row. No task ever holds more than two blocks.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.operators.lists import top_k
-from basketry.runtime import shuffle_width
+from basketry.runtime import cut_lineage, shuffle_width
 
 #: Rows of a block: 4096 rows of 64 doubles are 2 MB.
 BLOCK_ROWS = 4096
@@ -166,3 +167,199 @@ def best_scores(
     found = _multiply(a, b, blocks_l * blocks_r, kernel, "id long, other_id long, score double")
     best = top_k(found, "id", [F.desc("score"), F.asc("other_id")], k)
     return best.select("id", "rank", "other_id", "score")
+
+
+# --- best products by falling norm -------------------------------------------------------
+
+#: Blocks of the right side that a task meets in one stage at most.
+STAGE_BLOCKS = 16
+_STATE = "id long, vector array<double>, best array<struct<score:double,other_id:long>>, open boolean"
+
+
+def _measured(df: DataFrame) -> DataFrame:
+    """``id, vector, norm`` of the rows that have both."""
+    vector = F.transform("vector", lambda x: x.cast("double"))
+    return df.where(F.col("id").isNotNull() & F.col("vector").isNotNull()).select(
+        F.col("id").cast("long").alias("id"), vector.alias("vector"),
+        F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x * x)).alias("norm"))
+
+
+def best_by_norm(
+    left: DataFrame, right: DataFrame, k: int, above: float = 0.0, block_rows: int = BLOCK_ROWS,
+    trace: list[tuple[int, int]] | None = None,
+) -> DataFrame:
+    """``best_scores`` of dot products, by bounds: the right rows are taken in blocks of falling
+    norm, and a left row is done when no later block can beat its ``k``-th score, or ``above``
+    (the product of two norms bounds a score). Blocks of left rows keep their running lists; a
+    stage copies its right blocks only to left blocks that still have open rows, and stages
+    double up to ``STAGE_BLOCKS``. ``trace`` gets right and left blocks of each stage."""
+    items = cut_lineage(_measured(right), "norms")
+    n_items, n_users = items.count(), left.count()
+    blocks = max(1, math.ceil(n_items / block_rows))
+    shares = [1 - i / blocks for i in range(1, blocks)]
+    bounds = items.approxQuantile("norm", shares, 0.0005) if n_items and shares else []
+    at = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: F.col("norm") < b)) \
+        if bounds else F.lit(0)
+    # Rows of one norm are divided further, so that no part outgrows a block.
+    items = cut_lineage(items.withColumn("at", at), "norms")
+    sizes = {r["at"]: (r["n"], r["most"]) for r in items.groupBy("at").agg(
+        F.count("*").alias("n"), F.max("norm").alias("most")).collect()}
+    order = sorted(sizes)
+    parts = F.lit(1)
+    for place in order:
+        if sizes[place][0] > 2 * block_rows:
+            parts = F.when(F.col("at") == place, math.ceil(sizes[place][0] / block_rows)).otherwise(parts)
+    items = items.withColumn("part", F.pmod(F.xxhash64("id"), parts))
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        matrix = np.stack(rows["vector"].to_numpy()).astype("float64")
+        return pd.DataFrame({
+            "at": [rows["at"].iloc[0]], "ids": [rows["id"].to_numpy("int64").tobytes()],
+            "matrix": [matrix.tobytes()], "width": [matrix.shape[1]], "most": [rows["norm"].max()]})
+
+    packed = items.groupBy("at", "part").applyInPandas(
+        pack, "at int, ids binary, matrix binary, width int, most double")
+    user_blocks = max(1, math.ceil(n_users / block_rows))
+    empty = F.array().cast("array<struct<score:double,other_id:long>>")
+    users = _measured(left).where("norm > 0").select(
+        "id", "vector", empty.alias("best"), F.lit(True).alias("open"))
+    done, start, step = [], 0, 1
+    while order[start:]:
+        stage = order[start:start + step]
+        later = [sizes[p][1] for p in order[start + step:]]
+        limit = max(later, default=None)
+        placed = users.withColumn("user_block", F.pmod(F.xxhash64("id"), F.lit(user_blocks)))
+        names = [r[0] for r in placed.select("user_block").distinct().collect()]
+        if trace is not None:
+            trace.append((len(stage), len(names)))
+        if not names:
+            break
+        copies = packed.where(F.col("at").isin(stage)).withColumn(
+            "user_block", F.explode(F.array(*(F.lit(n).cast("long") for n in names))))
+        met = placed.groupBy("user_block").cogroup(copies.groupBy("user_block")).applyInPandas(
+            _meet(k, above, limit), _STATE)
+        users = cut_lineage(met, "lists")
+        done.append(users.where("not open"))
+        users = users.where("open").select("id", "vector", "best", "open")
+        start, step = start + step, min(2 * step, STAGE_BLOCKS)
+    lists = reduce(DataFrame.unionByName, done) if done else users.limit(0)
+    rows = lists.select("id", F.posexplode("best").alias("pos", "b"))
+    return rows.select(
+        "id", (F.col("pos") + 1).alias("rank"), F.col("b.other_id").alias("other_id"),
+        F.col("b.score").alias("score"))
+
+
+def _meet(k: int, above: float, limit: float | None):
+    """Kernel of one block of left rows: takes the stage's right blocks in falling norm."""
+
+    def meet(users: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
+        if not len(users):
+            return pd.DataFrame({"id": [], "vector": [], "best": [], "open": []})
+        vectors = np.stack(users["vector"].to_numpy()).astype("float64")
+        norms = np.sqrt((vectors * vectors).sum(axis=1))
+        lists = [[(float(b["score"]), int(b["other_id"])) for b in best] for best in users["best"]]
+        floor = np.array([best[-1][0] if len(best) == k else -np.inf for best in lists])
+        floor = np.maximum(floor, settled(above))
+        for _, block in blocks.sort_values("most", ascending=False).iterrows():
+            ids, matrix = _unpack(block)
+            # A little slack, since scores are rounded to 40 bits.
+            some = np.flatnonzero(norms * block["most"] * (1 + 1e-9) >= floor)
+            for begin in range(0, len(some), _STRIPE):
+                part = some[begin:begin + _STRIPE]
+                score = settled(vectors[part] @ matrix.T)
+                row, column = np.nonzero((score >= floor[part][:, None]) & (score > settled(above)))
+                cuts = np.searchsorted(row, np.arange(len(part) + 1))
+                for r in np.flatnonzero(np.diff(cuts)):
+                    these = column[cuts[r]:cuts[r + 1]]
+                    u = part[r]
+                    found = lists[u] + list(zip(score[r, these].tolist(), ids[these].tolist()))
+                    lists[u] = sorted(found, key=lambda f: (-f[0], f[1]))[:k]
+                    if len(lists[u]) == k:
+                        floor[u] = max(floor[u], lists[u][-1][0])
+        open_ = np.zeros(len(users), bool) if limit is None else norms * limit * (1 + 1e-9) >= floor
+        return pd.DataFrame({
+            "id": users["id"].to_numpy(), "vector": users["vector"],
+            "best": [[{"score": s, "other_id": o} for s, o in best] for best in lists],
+            "open": open_})
+
+    return meet
+
+
+# --- approximate pairs -------------------------------------------------------------------
+
+#: Vectors that a bucket of signatures would hold if they were dealt evenly.
+LSH_BUCKET = 256
+
+
+def lsh_tables(threshold: float, recall: float, bits: int) -> int:
+    """Tables with which a pair at the threshold meets with probability ``recall``, if each
+    signature is looked up together with those one bit away."""
+    differs = math.acos(threshold) / math.pi
+    meets = (1 - differs) ** bits + bits * differs * (1 - differs) ** (bits - 1)
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - meets)))
+
+
+def cosine_pairs_lsh(
+    vectors: DataFrame, threshold: float = 0.4, recall: float = 0.99, bits: int | None = None,
+    seed: int = 0, piece: int = 1024,
+) -> DataFrame:
+    """``cosine_pairs`` that finds a pair at the threshold with probability ``recall``, and closer
+    ones with more; no pair below it. Random hyperplanes give a signature per table; one side of
+    a pair is looked up at its signature, the other also at those one bit away. Signatures get
+    longer with the logarithm of the number of vectors, so that buckets keep their size; one of
+    any size is cut into pieces that meet pairwise, and scores are computed in the task."""
+    if bits is None:
+        bits = max(4, round(math.log2(max(vectors.count(), 1) / LSH_BUCKET)))
+    tables = lsh_tables(threshold, recall, bits)
+
+    def signed(batches):
+        planes = None
+        for frame in batches:
+            if not len(frame):
+                continue
+            matrix = np.stack(frame["vector"].to_numpy()).astype("float64")
+            norm = np.sqrt((matrix * matrix).sum(axis=1))
+            ids, matrix = frame["id"].to_numpy("int64")[norm > 0], matrix[norm > 0] / norm[norm > 0, None]
+            if planes is None:
+                planes = np.random.default_rng(seed).normal(size=(matrix.shape[1], tables, bits))
+            weights = 1 << np.arange(bits)
+            for start in range(0, len(ids), 256):
+                rows = matrix[start:start + 256]
+                names = ((np.tensordot(rows, planes, 1) > 0) @ weights) + (np.arange(tables) << 40)
+                probes = np.concatenate([names[..., None], names[..., None] ^ weights], axis=2)
+                own = np.zeros(probes.shape, bool)
+                own[..., 0] = True
+                n = probes[0].size
+                yield pd.DataFrame({
+                    "name": probes.ravel(), "id": np.repeat(ids[start:start + 256], n),
+                    "own": own.ravel()})
+
+    rows = vectors.where(F.col("id").isNotNull() & F.col("vector").isNotNull()).select(
+        F.col("id").cast("long").alias("id"),
+        F.transform("vector", lambda x: x.cast("double")).alias("vector"))
+    named = rows.mapInPandas(signed, "name long, id long, own boolean")
+    # Signatures that are nobody's own find nothing; those of one row neither.
+    homes = named.groupBy("name").agg(F.count("*").alias("n"), F.max("own").alias("home")).where(
+        "n > 1 and home").select("name", F.ceil(F.col("n") / piece).cast("int").alias("pieces"))
+    cut = named.join(homes, "name").withColumn(
+        "piece", F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).select(
+        "name", F.least("piece", "other").alias("i"), F.greatest("piece", "other").alias("j"),
+        "piece", "id", "own").join(rows, "id")
+
+    def pairs(part: pd.DataFrame) -> pd.DataFrame:
+        matrix = np.stack(part["vector"].to_numpy())
+        matrix /= np.sqrt((matrix * matrix).sum(axis=1))[:, None]
+        ids, own = part["id"].to_numpy(), part["own"].to_numpy()
+        at = part["piece"].to_numpy()
+        score = settled(matrix @ matrix.T)
+        # At least one of the two is at home, and each pair of pieces is met once.
+        keep = (score > settled(threshold)) & (own[:, None] | own) & (ids[:, None] < ids)
+        if part["i"].iloc[0] != part["j"].iloc[0]:
+            keep &= at[:, None] != at
+        row, column = np.nonzero(keep)
+        return pd.DataFrame({"a": ids[row], "b": ids[column], "score": score[row, column]})
+
+    found = cut.groupBy("name", "i", "j").applyInPandas(pairs, "a long, b long, score double")
+    # The same pair may meet in several tables; its score is the same to 40 bits.
+    return found.groupBy("a", "b").agg(F.max("score").alias("score"))

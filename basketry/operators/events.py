@@ -79,6 +79,45 @@ def uv_hourly(
     )
 
 
+#: Bits of a sketch's row number: its relative error is about 1.04 / sqrt(2^bits), 0.8 %.
+SKETCH_BITS = 14
+
+
+def uv_sketches(events: DataFrame, event_type: str = "pv") -> DataFrame:
+    """``hour, sketch``: a mergeable sketch of each hour's visitors."""
+    hour = F.date_trunc("hour", "ts").alias("hour")
+    return visits(events, event_type).select(hour, F.col("user_id").cast("long").alias("user_id")).groupBy(
+        "hour").agg(F.hll_sketch_agg("user_id", F.lit(SKETCH_BITS)).alias("sketch"))
+
+
+def uv_of_sketches(sketches: DataFrame, unit: str = "day") -> DataFrame:
+    """``start, count``: visitors per ``unit`` (hour, day, month...), from stored sketches only;
+    an hour may have several."""
+    return sketches.groupBy(F.date_trunc(unit, "hour").alias("start")).agg(
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("count"))
+
+
+def uv_pages(events: DataFrame, event_type: str = "pv") -> DataFrame:
+    """``hour, page, bits``: pages of each hour's bitmap of visitor hashes."""
+    place = visits(events, event_type).select(
+        F.date_trunc("hour", "ts").alias("hour"), poly_hash(F.col("user_id").cast("string")).alias("at"))
+    return place.groupBy("hour", F.bitmap_bucket_number("at").alias("page")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+
+
+def merged_pages(pages: DataFrame) -> DataFrame:
+    """One row per hour and page, of all bits set in any of its rows."""
+    return pages.groupBy("hour", "page").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def uv_of_pages(pages: DataFrame) -> DataFrame:
+    """``start, end, count``: visitor hashes per hour."""
+    counted = merged_pages(pages).groupBy("hour").agg(F.sum(F.bitmap_count("bits")).alias("count"))
+    return counted.select(
+        F.col("hour").alias("start"), (F.col("hour") + F.make_dt_interval(hours=F.lit(1))).alias("end"),
+        F.col("count").cast("long").alias("count"))
+
+
 def uv_running(
     events: DataFrame, tie: str = "event_id", event_type: str = "pv", slice_seconds: int = 10
 ) -> DataFrame:

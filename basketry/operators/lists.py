@@ -47,3 +47,31 @@ def from_rec_list(recs: DataFrame, key: str, item_name: str = "product_id") -> D
         key, (F.col("pos") + 1).alias("rank"), F.col(f"rec.{item_name}").alias(item_name),
         F.col("rec.score").alias("score"),
     )
+
+
+#: Entries of a page of a list.
+PAGE = 1000
+
+
+def to_pages(
+    flat: DataFrame, key: str, item: str, score: str, item_name: str = "product_id", size: int = PAGE
+) -> DataFrame:
+    """``key, page, recs``: whole lists, best first, in rows of ``size`` entries (from page 0), so
+    that no row holds a whole list."""
+    order = Window.partitionBy(key).orderBy(F.desc(score), F.asc(item))
+    ranked = flat.withColumn("rank", F.row_number().over(order))
+    entry = F.struct("rank", F.col(item).alias(item_name), F.col(score).cast("double").alias("score"))
+    paged = ranked.groupBy(key, F.floor((F.col("rank") - 1) / size).cast("int").alias("page")).agg(
+        F.array_sort(F.collect_list(entry)).alias("ranked"))
+    return paged.select(key, "page", F.transform("ranked", lambda r: F.struct(
+        r[item_name].alias(item_name), r["score"].alias("score"))).alias("recs"))
+
+
+def from_pages(
+    pages: DataFrame, key: str, item_name: str = "product_id", size: int = PAGE
+) -> DataFrame:
+    """Flat ``key, rank, item, score`` rows of a table of pages."""
+    rows = pages.select(key, "page", F.posexplode("recs").alias("pos", "rec"))
+    return rows.select(
+        key, (F.col("page") * size + F.col("pos") + 1).alias("rank"),
+        F.col(f"rec.{item_name}").alias(item_name), F.col("rec.score").alias("score"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions import dates, hashing, text
 from basketry.operators import als, content, dense, events, itemcf, online, ratings, stats, users
-from basketry.operators.lists import from_rec_list, to_rec_list
+from basketry.operators.lists import from_pages, from_rec_list, to_pages, to_rec_list
 from basketry.plans import serving
 from basketry.runtime import cut_lineage
 from basketry.sources import files, retail
@@ -125,6 +125,30 @@ def factor_user_topk(spark: SparkSession, sf: str) -> DataFrame:
         F.round(F.col("score") * 1e6, 6).alias("score"))
 
 
+def factor_user_topk_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """``factor_user_topk`` by norm bounds."""
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet").select(
+        F.col("vec_id").alias("id"), "label",
+        F.transform("embedding", lambda x: x.cast("double") / 1000).alias("vector"))
+    users, items = (rows.where(F.col("label") % 2 == k).drop("label") for k in (0, 1))
+    return dense.best_by_norm(users, items, TOP, above=0.0, block_rows=64).select(
+        F.col("id").alias("user_id"), "rank", F.col("other_id").alias("product_id"),
+        F.round(F.col("score") * 1e6, 6).alias("score"))
+
+
+def factor_lsh_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """Hyperplane pairs against the exact ones: none that is not similar, 95 % of all."""
+    vectors = retail.vectors(spark, sf)
+    exact = dense.cosine_pairs(vectors, 0.4).select("a", "b", F.lit(1).alias("is_pair"))
+    found = dense.cosine_pairs_lsh(vectors, 0.4).select("a", "b", F.lit(1).alias("is_found"))
+    both = exact.join(found, ["a", "b"], "full").agg(
+        F.count("is_pair").alias("pairs"), F.count("is_found").alias("found"),
+        F.count(F.col("is_pair") + F.col("is_found")).alias("right"))
+    return both.select(
+        (F.col("right") == F.col("found")).alias("only_pairs"),
+        (F.col("right") >= 0.95 * F.col("pairs")).alias("recall_reached"))
+
+
 def _six(df: DataFrame) -> DataFrame:
     """Scores as shown: ranks and thresholds have used them unrounded."""
     return df.withColumn("score", F.round("score", 6))
@@ -174,6 +198,16 @@ def similar_by_content(spark: SparkSession, sf: str) -> DataFrame:
     ))
 
 
+def similar_by_content_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """``similar_by_content`` from lists stored in pages of 25."""
+    members, near = content_near(spark, sf)
+    lists = content.content_neighbours(_event_products(spark, sf), members, near)
+    pages = cut_lineage(to_pages(lists, "product_id", "other_id", "score", "rec_id", 25), "pages")
+    flat = from_pages(pages, "product_id", "rec_id", 25).select(
+        F.col("product_id").alias("asked_id"), "rank", F.col("rec_id").alias("product_id"), "score")
+    return _six(serving.with_product(flat, retail.product(spark, sf), average_score(spark, sf)))
+
+
 # --- matrix factorisation ----------------------------------------------------------------
 
 def als_user_recs(spark: SparkSession, sf: str) -> DataFrame:
@@ -313,6 +347,23 @@ def uv_approx_close(spark: SparkSession, sf: str) -> DataFrame:
             F.lit(1.0), 0.15 * F.col("exact"))).alias("close"))
 
 
+def sketches_close(sketches: DataFrame, behavior: DataFrame) -> DataFrame:
+    """``start, close``: is each day's count from hourly ``sketches`` within 3 % of the exact one,
+    or within one visitor?"""
+    exact = events.visits(behavior, "view").groupBy(F.date_trunc("day", "ts").alias("start")).agg(
+        F.count_distinct("user_id").alias("exact"))
+    found = events.uv_of_sketches(sketches, "day").join(exact, "start", "full")
+    near = F.abs(F.col("count") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.03 * F.col("exact"))
+    return found.select(
+        dates.hour_label(F.col("start")).alias("start"), F.coalesce(near, F.lit(False)).alias("close"))
+
+
+def uv_sketch_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Days from sketches per hour that were written and read back, without the events."""
+    behavior = retail.behavior(spark, sf)
+    return sketches_close(cut_lineage(events.uv_sketches(behavior, "view"), "sketches"), behavior)
+
+
 def uv_running(spark: SparkSession, sf: str) -> DataFrame:
     running = events.uv_running(retail.behavior(spark, sf), event_type="view")
     return _hours(running).select("start", "end", "user_id", "event_id", "count")
@@ -438,11 +489,12 @@ BATCH: dict[str, Query] = {
         most_rated_products, hot_products, rate_more, rate_more_recently, change_date_sql,
         average_score, product_info, search_products, itemcf_pairs, itemcf_topk,
         itemcf_recs,
-        similar_by_itemcf, factor_similarity, factor_topk, factor_user_topk, tfidf, content_similarity,
-        content_similarity_hashed, content_topk, similar_by_content, als_user_recs,
+        similar_by_itemcf, factor_similarity, factor_topk, factor_user_topk, factor_user_topk_bounds,
+        factor_lsh_recall, tfidf, content_similarity,
+        content_similarity_hashed, content_topk, similar_by_content, similar_by_content_pages, als_user_recs,
         als_user_lists, als_solved, als_item_sim, als_item_topk, als_grid, als_best_setting, offline_recs, online_recs,
         stream_list_served, hot_window_counts, hot_window_topn, hot_window_report, uv_hourly,
-        uv_bitmap, uv_approx, uv_approx_close, uv_running, login_alerts_2m, login_alerts_24h, lockout_until,
+        uv_bitmap, uv_approx, uv_approx_close, uv_sketch_days, uv_running, login_alerts_2m, login_alerts_24h, lockout_until,
         user_lockouts, recent_ratings, rating_upsert, submit_ratings, ratings_from_log,
         rating_rejects, username_id, register_users, update_user_prefs,
     )

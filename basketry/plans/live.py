@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions import dates, text
+from basketry.operators import events
 from basketry.plans import catalogue
 from basketry.runtime import ROCKSDB_PROVIDER, scratch_path
 from basketry.sources import files, retail, tables
@@ -19,6 +20,26 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
 
 
+#: Files, and so batches, that ``_sliced`` makes of the events.
+SLICES = 5
+
+
+def _sliced(spark: SparkSession, sf: str) -> DataFrame:
+    """The events as files of one time slice each, written one after the other and read a file
+    per batch: state is carried from batch to batch, and the watermark moves in between."""
+    event = retail.load(spark, sf, "events")
+    moment = F.unix_micros(dates.as_timestamp(F.col("ts")))
+    micros = event.select(moment.alias("at"))
+    cuts = micros.approxQuantile("at", [k / SLICES for k in range(1, SLICES)], 0.001)
+    at, path = moment, scratch_path(spark, "slices")
+    bounds = [None, *cuts, None]
+    for k, (low, high) in enumerate(zip(bounds[:-1], bounds[1:])):
+        part = event.where(at >= low) if low is not None else event
+        part = part.where(at < high) if high is not None else part
+        part.coalesce(1).write.parquet(f"{path}/{k}")
+    return spark.readStream.schema(event.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/*")
+
+
 def _run(spark: SparkSession, label: str, begin: Callable) -> str:
     """Start a stream with a fresh output folder, wait for its end, return the folder."""
     # Sessions that ``build_session`` made have it already.
@@ -47,6 +68,32 @@ def stream_uv(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def stream_uv_bitmap(spark: SparkSession, sf: str) -> DataFrame:
+    """Bitmap pages of each batch, united over all batches in a snapshot."""
+    stream = retail.behavior_of(_sliced(spark, sf))
+    out = _run(spark, "pages", lambda base, cp: visitors.start_uv_pages(
+        stream, base, cp, event_type="view", every=None))
+    tables.compact_batches(spark, "uv_pages", out, merge=events.merged_pages)
+    pages = tables.read_merged(spark, "uv_pages", out, events.merged_pages)
+    return _hours(events.uv_of_pages(pages))
+
+
+def stream_uv_sketch_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Are the visitors of each day, from the stream's hourly sketches, within 3 % of the exact
+    number, or within one?"""
+    stream = retail.behavior_of(_sliced(spark, sf))
+    out = _run(spark, "sketches", lambda base, cp: visitors.start_uv_sketches(
+        stream, base, cp, event_type="view", every=None))
+    stored = spark.read.parquet(tables.table_path(out, "uv_sketch"))
+    return catalogue.sketches_close(stored, retail.behavior(spark, sf))
+
+
+def _hours(counted: DataFrame) -> DataFrame:
+    return counted.select(
+        dates.hour_label(F.col("start")).alias("start"), dates.hour_label(F.col("end")).alias("end"),
+        "count")
+
+
 def _login_tables(spark: SparkSession, sf: str) -> str:
     stream = retail.login_event_of(_events(spark, sf))
     return _run(spark, "login", lambda base, cp: logins.start_login_alerts(
@@ -66,7 +113,7 @@ def stream_lockouts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_recent_ratings(spark: SparkSession, sf: str) -> DataFrame:
-    stream = retail.event_rating_of(_events(spark, sf))
+    stream = retail.event_rating_of(_sliced(spark, sf))
     out = _run(spark, "recent", lambda base, cp: recommend.start_recent_ratings(
         stream, base, cp, every=None))
     queues = tables.read_replaced(spark, "recent_queue", out, "user_id")
@@ -74,7 +121,7 @@ def stream_recent_ratings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_online_recs(spark: SparkSession, sf: str) -> DataFrame:
-    stream = retail.event_rating_of(_events(spark, sf))
+    stream = retail.event_rating_of(_sliced(spark, sf))
     members, near = catalogue.content_near(spark, sf)
     rated = catalogue.rated_products(spark, sf)
     out = _run(spark, "online", lambda base, cp: recommend.start_online_recs(
@@ -103,7 +150,7 @@ def stream_relay(spark: SparkSession, sf: str) -> DataFrame:
 STREAMS = {
     q.__name__: q
     for q in (
-        stream_hot_items, stream_uv, stream_login_alerts, stream_lockouts,
+        stream_hot_items, stream_uv, stream_uv_bitmap, stream_uv_sketch_days, stream_login_alerts, stream_lockouts,
         stream_recent_ratings, stream_online_recs, stream_relay,
     )
 }

@@ -314,11 +314,21 @@ FROM customer LEFT JOIN wish ON user_id = c_custkey""",
 }
 
 # Windows whose end the watermark has reached, which is where the last event is.
+BATCH["similar_by_content_pages"] = BATCH["similar_by_content"]
+BATCH["factor_user_topk_bounds"] = BATCH["factor_user_topk"]
+# What the queries state about sketches and approximate pairs holds for every row.
+BATCH["factor_lsh_recall"] = "SELECT true AS only_pairs, true AS recall_reached"
+BATCH["uv_sketch_days"] = f"""WITH {_VIEWS}
+SELECT strftime(date_trunc('day', h), '%Y/%m/%d/%H') AS start, true AS close
+FROM views GROUP BY 1"""
+
 STREAMS: dict[str, str] = {
     "stream_hot_items": f"""WITH {_BEHAVIOR}, {_WINDOW_COUNTS}, {_WINDOW_TOP}
 SELECT {_SECOND.format('window_end')}, rank, product_id, count FROM top
 WHERE window_end <= (SELECT max(ts) FROM events)""",
     "stream_uv": BATCH["uv_hourly"],
+    "stream_uv_bitmap": BATCH["uv_bitmap"],
+    "stream_uv_sketch_days": BATCH["uv_sketch_days"],
     "stream_login_alerts": BATCH["login_alerts_24h"]
     + " WHERE ts < (SELECT date_trunc('millisecond', max(ts)) FROM events)",
     "stream_lockouts": BATCH["lockout_until"].replace(

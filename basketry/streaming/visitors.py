@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from basketry.operators.events import visits
+from basketry.operators.events import uv_pages, uv_sketches, visits
 from basketry.sources.streams import start, with_event_time
 from basketry.sources.tables import write_batch
 
@@ -41,3 +41,27 @@ def start_uv(
     return start(
         uv_stream(stream, event_type, delay), checkpoint, batch=save, mode="update", every=every
     )
+
+
+def start_uv_sketches(
+    stream: DataFrame, base: str, checkpoint: str, event_type: str = "pv", name: str = "uv_sketch",
+    every: str | None = "3 seconds",
+) -> StreamingQuery:
+    """Append each batch's sketches per hour to table ``name``; ``uv_of_sketches`` unites them to
+    hours, days or months. The stream itself keeps nothing."""
+    def save(batch: DataFrame, batch_id: int) -> None:
+        write_batch(uv_sketches(batch, event_type), name, base, batch_id)
+
+    return start(stream.select("ts", "user_id", "event_type"), checkpoint, batch=save, every=every)
+
+
+def start_uv_pages(
+    stream: DataFrame, base: str, checkpoint: str, event_type: str = "pv", name: str = "uv_pages",
+    every: str | None = "3 seconds",
+) -> StreamingQuery:
+    """Append each batch's bitmap pages per hour to table ``name``: read them with
+    ``read_merged(..., merge=merged_pages)``, which unites the pages of all batches."""
+    def save(batch: DataFrame, batch_id: int) -> None:
+        write_batch(uv_pages(batch, event_type), name, base, batch_id)
+
+    return start(stream.select("ts", "user_id", "event_type"), checkpoint, batch=save, every=every)

@@ -72,3 +72,49 @@ def test_tiny_scores_keep_their_order(spark):
         [(k, [1e-3 + k * 1e-9]) for k in range(50)], "id long, vector array<double>")
     got = rows(dense.best_scores(left, right, 5, above=0.0), "rank", "other_id")
     assert got == [(k + 1, 49 - k) for k in range(5)]
+
+
+@pytest.mark.parametrize("block_rows", [4096, 7])
+def test_best_by_norm_equals_all_scores(spark, block_rows):
+    left, _, _ = vectors(spark, 40, 4, 5)
+    right, _, _ = vectors(spark, 70, 4, 6)
+    want = rows(dense.best_scores(left, right, 5, above=0.1))
+    assert rows(dense.best_by_norm(left, right, 5, above=0.1, block_rows=block_rows)) == want
+    assert len(want) > 150
+
+
+def test_best_by_norm_stops_early(spark):
+    """Norms that fall fast: most blocks are never copied to a left block."""
+    rng = np.random.default_rng(7)
+    m = rng.normal(size=(400, 4)) * np.exp(-np.arange(400) / 20)[:, None]
+    right = spark.createDataFrame(
+        [(i, [float(x) for x in v]) for i, v in enumerate(m)], "id long, vector array<double>")
+    left, _, _ = vectors(spark, 60, 4, 8)
+    trace = []
+    got = rows(dense.best_by_norm(left, right, 3, above=0.0, block_rows=10, trace=trace))
+    assert got == rows(dense.best_scores(left, right, 3, above=0.0))
+    assert sum(a * b for a, b in trace) < 40 * 6 / 2
+
+
+def test_best_by_norm_of_equal_norms_and_nothing(spark):
+    ring = [(k, [float(np.cos(k)), float(np.sin(k))]) for k in range(50)]
+    frame = spark.createDataFrame(ring, "id long, vector array<double>")
+    assert rows(dense.best_by_norm(frame, frame, 2, block_rows=5)) == rows(
+        dense.best_scores(frame, frame, 2, above=0.0))
+    assert dense.best_by_norm(frame, frame.limit(0), 2).count() == 0
+    assert dense.best_by_norm(frame.limit(0), frame, 2).count() == 0
+
+
+@pytest.mark.parametrize("piece", [1024, 9])
+def test_lsh_finds_the_pairs(spark, piece):
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(12, 16))
+    m = np.repeat(centres, 10, axis=0) + rng.normal(size=(120, 16)) * 0.8
+    m[5] = 0
+    frame = spark.createDataFrame(
+        [(i * 3, [float(x) for x in v]) for i, v in enumerate(m)], "id long, vector array<double>")
+    exact = {r[:2]: r[2] for r in rows(dense.cosine_pairs(frame, 0.5))}
+    found = {r[:2]: r[2] for r in rows(dense.cosine_pairs_lsh(frame, 0.5, piece=piece))}
+    assert set(found) <= set(exact) and len(found) >= 0.95 * len(exact) > 300
+    assert all(abs(found[p] - exact[p]) < 1e-9 for p in found)
+    assert dense.lsh_tables(0.5, 0.99, 8) > dense.lsh_tables(0.8, 0.99, 8)

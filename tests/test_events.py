@@ -157,3 +157,53 @@ def test_lockouts(spark):
 def test_hash_bitmap_sizes(spark):
     got = spark.range(1000).select(hashing.poly_hash(F.col("id").cast("string")).alias("h"))
     assert got.agg(F.max("h")).first()[0] < 1 << 29
+
+
+def test_sketches_and_pages_of_parts_unite(spark):
+    import datetime
+    import random
+
+    from basketry.operators import events
+
+    rng, start = random.Random(3), datetime.datetime(2024, 1, 30, 20)
+    data = [(rng.randrange(300), "pv" if rng.random() < 0.9 else "buy",
+             start + datetime.timedelta(minutes=rng.randrange(3000))) for _ in range(4000)]
+    frame = spark.createDataFrame(data, "user_id long, event_type string, ts timestamp")
+    halves = [frame.where(f"user_id % 2 = {k}") for k in (0, 1)] + [frame.limit(500)]
+    pages = events.uv_pages(halves[0])
+    sketches = events.uv_sketches(halves[0])
+    for half in halves[1:]:
+        pages = pages.union(events.uv_pages(half))
+        sketches = sketches.union(events.uv_sketches(half))
+    once = events.merged_pages(pages)
+    assert rows_of(events.uv_of_pages(once)) == rows_of(events.uv_of_pages(pages)) == rows_of(
+        events.uv_hourly(frame, "bitmap"))
+    for unit in ("hour", "day", "month"):
+        exact = {}
+        for user, kind, ts in data:
+            if kind == "pv":
+                at = {"hour": ts.replace(minute=0), "day": ts.replace(hour=0, minute=0),
+                      "month": ts.replace(day=1, hour=0, minute=0)}[unit]
+                exact.setdefault(at, set()).add(user)
+        got = {r["start"]: r["count"] for r in events.uv_of_sketches(sketches, unit).collect()}
+        assert set(got) == set(exact)
+        assert all(abs(got[at] - len(users)) <= max(1, 0.03 * len(users)) for at, users in exact.items())
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.select("start", "end", "count").collect()))
+
+
+def test_pages_of_lists(spark):
+    from basketry.operators import lists
+
+    flat = spark.createDataFrame(
+        [(p, o, float((o * 7) % 5)) for p in range(3) for o in range(11 * p)],
+        "product_id long, other_id long, score double")
+    pages = lists.to_pages(flat, "product_id", "other_id", "score", "rec_id", 4)
+    sizes = sorted((r["product_id"], r["page"], len(r["recs"])) for r in pages.collect())
+    assert sizes == [(1, 0, 4), (1, 1, 4), (1, 2, 3), *((2, k, 4) for k in range(5)), (2, 5, 2)]
+    got = lists.from_pages(pages, "product_id", "rec_id", 4)
+    want = lists.from_rec_list(
+        lists.to_rec_list(flat, "product_id", "other_id", "score", None, "rec_id"), "product_id", "rec_id")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
