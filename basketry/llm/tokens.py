@@ -25,14 +25,18 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketry.llm import texts
 from basketry.llm.texts import write_step
 from basketry.runtime import scratch_path, shuffle_width
 
 #: Distinct pieces of text a worker remembers the ids of.
 CACHE_PIECES = 900_000
+#: Bytes of text a task works on at a time.
+SLICE_BYTES = 2 << 20
 #: Ids of a block; a longer document is a block of its own.
 BLOCK_IDS = 1 << 18
 
@@ -57,17 +61,17 @@ class _Pieces(dict):
         self.dtype = id_type(self.size)
         self.cores: dict[str, bytes] = {}
 
-    def learn(self, texts: list[list[str]]) -> None:
+    def learn(self, found: list[list[str]]) -> None:
         """Encode the pieces not known yet. Marks at the ends of a piece and letter case make no
         difference to the ids of the rest, so pieces share what is left without them."""
         if len(self) > CACHE_PIECES or len(self.cores) > CACHE_PIECES:
             self.clear()
             self.cores.clear()
-        new = list(set().union(*texts).difference(self))
+        new = list(set().union(*found).difference(self))
         parts = [_parts(piece) for piece in new]
         self._encode(list(set(chain.from_iterable(parts)).difference(self.cores)))
-        for piece, found in zip(new, parts):
-            self[piece] = b"".join(map(self.cores.__getitem__, found))
+        for piece, cores in zip(new, parts):
+            self[piece] = b"".join(map(self.cores.__getitem__, cores))
 
     def _encode(self, cores: list[str]) -> None:
         """Many in one string; a token belongs to the core that its offset lies in."""
@@ -121,18 +125,16 @@ def encode(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(vocabulary)
-        end = np.array([end_id], pieces.dtype).tobytes()
         total = np.zeros(max(pieces.size, end_id + 1), np.int64)
         names = ["doc_id", "ids", "counts"]
-        for batch in batches:
-            for start in range(0, batch.num_rows, 1000):
-                part = batch.slice(start, 1000)
-                texts = [(t or "").replace("\n", " ").split(" ") for t in part[1].to_pylist()]
-                pieces.learn(texts)
-                ids = [b"".join(map(pieces.__getitem__, t)) + end for t in texts]
-                coded = pa.array(ids, pa.binary())
-                total += np.bincount(np.frombuffer(b"".join(ids), pieces.dtype), minlength=len(total))
-                yield pa.record_batch([part[0], coded, pa.nulls(len(ids), pa.binary())], names)
+        for part in texts.slices(batches, "text", SLICE_BYTES):
+            ids, ends = _ids(part[1], pieces)
+            ids = np.insert(ids, ends, end_id)
+            total += np.bincount(ids, minlength=len(total))
+            offsets = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]) * ids.itemsize
+            coded = pa.Array.from_buffers(pa.binary(), len(ends), [
+                None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(ids.tobytes())])
+            yield pa.record_batch([part[0], coded, pa.nulls(len(ends), pa.binary())], names)
         yield pa.record_batch([
             pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.tobytes()])], names)
 
@@ -140,6 +142,25 @@ def encode(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
         run, _ENCODED)
 
 
+def _ids(column: pa.Array, pieces: _Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, and where each text's ids end. Arrow cuts the texts and tells the
+    distinct pieces; only those become Python strings."""
+    lists = pc.split_pattern(pc.replace_substring(column.fill_null(""), "\n", " "), " ")
+    coded = lists.flatten().dictionary_encode()
+    names = coded.dictionary.to_pylist()
+    pieces.learn([names])
+    found = [pieces[name] for name in names]
+    width = np.dtype(pieces.dtype).itemsize
+    lengths = np.array([len(f) // width for f in found], np.int64)
+    which = coded.indices.to_numpy()
+    size = lengths[which]
+    total = np.concatenate([[0], np.cumsum(size)])
+    begin = (np.cumsum(lengths) - lengths)[which] - total[:-1]
+    table = np.frombuffer(b"".join(found), pieces.dtype)
+    ids = table[np.repeat(begin, size) + np.arange(total[-1])]
+    return ids, total[np.cumsum(lists.value_lengths().to_numpy())]
+
+
 def id_counts(encoded: DataFrame) -> DataFrame:
     """``id, n`` over all documents; at most one row per id of the vocabulary."""
 
