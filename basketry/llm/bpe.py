@@ -280,13 +280,13 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, frequent: int = FREQU
         frequent_words(docs, pattern, frequent).repartition(8), ranks), "words")
     # Bounded by ``frequent``.
     known = {r["word"]: r["ids"] for r in table.collect()}
-    shared = spark.sparkContext.broadcast((ranks, known))
+    shared, name = spark.sparkContext.broadcast((ranks, known)), texts.fresh("ranks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _memories.get(id(shared.value))
+        memory = _memories.get(name)
         if memory is None:
             _memories.clear()
-            memory = _memories[id(shared.value)] = _Memory(pattern, *shared.value)
+            memory = _memories[name] = _Memory(pattern, *shared.value)
         for part in texts.slices(batches, "text"):
             cut = [_stretches(t or "") for t in part[1].to_pylist()]
             memory.learn(cut)
