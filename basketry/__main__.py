@@ -9,6 +9,7 @@ from basketry.runtime import build_session
 
 BATCH_JOBS = {
     "statistics": jobs.statistics_job,
+    "movies": jobs.movies_job,
     "offline": jobs.offline_job,
     "content": jobs.content_job,
     "itemcf": jobs.itemcf_job,

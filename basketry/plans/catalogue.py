@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketry import schemas
 from basketry.functions import dates, hashing, text
 from basketry.operators import als, content, dense, events, itemcf, online, ratings, stats, users
 from basketry.operators.lists import from_pages, from_rec_list, to_pages, to_rec_list
@@ -182,6 +183,15 @@ def content_topk(spark: SparkSession, sf: str) -> DataFrame:
     return _six(content.content_topk(retail.product(spark, sf), TOP))
 
 
+def movie_content_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """``content_topk`` of the products as rows of the media catalogue."""
+    product = retail.product(spark, sf)
+    given = {"mid": F.col("product_id").cast("string"), "name": F.col("name"), "tags": F.col("tags")}
+    movies = product.select(*(
+        given.get(c, F.lit(None).cast("string")).alias(c) for c in schemas.MOVIE_INFO_FIELDS))
+    return _six(content.content_topk(files.movie_products(movies)[0], TOP))
+
+
 def content_near(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     product = retail.product(spark, sf)
     vectors = content.content_vectors(product)
@@ -491,7 +501,7 @@ BATCH: dict[str, Query] = {
         itemcf_recs,
         similar_by_itemcf, factor_similarity, factor_topk, factor_user_topk, factor_user_topk_bounds,
         factor_lsh_recall, tfidf, content_similarity,
-        content_similarity_hashed, content_topk, similar_by_content, similar_by_content_pages, als_user_recs,
+        content_similarity_hashed, content_topk, movie_content_topk, similar_by_content, similar_by_content_pages, als_user_recs,
         als_user_lists, als_solved, als_item_sim, als_item_topk, als_grid, als_best_setting, offline_recs, online_recs,
         stream_list_served, hot_window_counts, hot_window_topn, hot_window_report, uv_hourly,
         uv_bitmap, uv_approx, uv_approx_close, uv_sketch_days, uv_running, login_alerts_2m, login_alerts_24h, lockout_until,

@@ -314,6 +314,7 @@ FROM customer LEFT JOIN wish ON user_id = c_custkey""",
 }
 
 # Windows whose end the watermark has reached, which is where the last event is.
+BATCH["movie_content_topk"] = BATCH["content_topk"]
 BATCH["similar_by_content_pages"] = BATCH["similar_by_content"]
 BATCH["factor_user_topk_bounds"] = BATCH["factor_user_topk"]
 # What the queries state about sketches and approximate pairs holds for every row.

@@ -48,6 +48,19 @@ def read_product_rejects(spark: SparkSession, path: str) -> DataFrame:
     return _product_rows(spark, path).where(~_product_ok()).drop("product_id")
 
 
+def movie_products(movie: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The media catalogue (``movie_info``, all strings) -> (products, rows without a numeric id
+    or a name)."""
+    rows = movie.withColumn("_id", checks.try_long(F.trim("mid")))
+    ok = F.col("_id").isNotNull() & F.col("name").isNotNull()
+    good = rows.where(ok).select(
+        F.col("_id").alias("product_id"), F.trim("name").alias("name"),
+        F.trim("imgUrl").alias("image_url"), F.trim("categories").alias("categories"),
+        F.coalesce(F.trim("tags"), F.lit("")).alias("tags"),
+    )
+    return good, rows.where(~ok).drop("_id")
+
+
 def read_ratings(spark: SparkSession, path: str, unit: str = "s") -> DataFrame:
     """Comma-separated ratings: user, product, score, epoch. Bad lines are left out;
     ``parse_rating(read_lines(...), sep=",")`` returns them as rejects."""
