@@ -268,9 +268,6 @@ class _Memory(dict):
         return [words[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
-_memories: dict = {}
-
-
 def encode(docs: DataFrame, ranks_path: str, pattern: str, frequent: int = FREQUENT_WORDS
            ) -> DataFrame:
     """``doc_id, ids`` (array<int>) of each row."""
@@ -283,11 +280,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, frequent: int = FREQU
     shared, name = spark.sparkContext.broadcast((ranks, known)), texts.fresh("ranks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _memories.get(name)
-        if memory is None:
-            _memories.clear()
-            memory = _memories[name] = _Memory(pattern, *shared.value)
-        for part in texts.slices(batches, "text"):
+        memory = texts.held(name, lambda: _Memory(pattern, *shared.value))
+        for part in texts.slices(batches, "text", keep=name):
             cut = [_stretches(t or "") for t in part[1].to_pylist()]
             memory.learn(cut)
             coded = [b"".join(map(memory.__getitem__, stretches)) for stretches in cut]

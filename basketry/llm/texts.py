@@ -7,7 +7,7 @@ Words follow one rule everywhere: ``A-Z`` are lower-cased, and a word is a run o
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -84,10 +84,25 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+#: What a worker process remembers from task to task: one operator's memory at a time.
+_held: dict[str, object] = {}
+
+
+def held(name: str, make: Callable[[], object]) -> object:
+    """The memory of this name in this worker."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]
+
+
 def slices(
-    batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES
+    batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES, keep: str | None = None
 ) -> Iterator[pa.RecordBatch]:
-    """Pieces of the batches with about ``limit`` bytes of text; a longer text is alone."""
+    """Pieces of the batches with about ``limit`` bytes of text; a longer text is alone. A task
+    that reads texts lets go of what the worker holds for others, all but ``keep``."""
+    for name in [n for n in _held if n != keep]:
+        del _held[name]
     for batch in batches:
         at = batch.schema.get_field_index(column)
         _, offsets = utf8(batch.column(at))
