@@ -34,7 +34,9 @@ from basketry.llm.texts import write_step
 #: Words that Spark encodes and broadcasts.
 FREQUENT_WORDS = 20_000
 #: Distinct stretches of text a worker remembers the ids of.
-CACHE_STRETCHES = 700_000
+CACHE_STRETCHES = 450_000
+#: Bytes of text cut into stretches at a time.
+SLICE_BYTES = 1 << 20
 NEVER = 1 << 30
 _BUCKETS = 8192
 _ODD_BLANK = regex.compile(r" (?=\s|$)")
@@ -106,7 +108,7 @@ def frequent_words(docs: DataFrame, pattern: str, n: int) -> DataFrame:
             ], ["stretch", "n"])
 
         counts: Counter = Counter()
-        for part in texts.slices(batches, "text"):
+        for part in texts.slices(batches, "text", SLICE_BYTES):
             for text in part[0].to_pylist():
                 counts.update(_stretches(text or ""))
             if len(counts) > CACHE_STRETCHES:
@@ -281,7 +283,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, frequent: int = FREQU
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = texts.held(name, lambda: _Memory(pattern, *shared.value))
-        for part in texts.slices(batches, "text", keep=name):
+        for part in texts.slices(batches, "text", SLICE_BYTES, keep=name):
             cut = [_stretches(t or "") for t in part[1].to_pylist()]
             memory.learn(cut)
             coded = [b"".join(map(memory.__getitem__, stretches)) for stretches in cut]
