@@ -1,3 +1,6 @@
+import math
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -118,3 +121,32 @@ def test_lsh_finds_the_pairs(spark, piece):
     assert set(found) <= set(exact) and len(found) >= 0.95 * len(exact) > 300
     assert all(abs(found[p] - exact[p]) < 1e-9 for p in found)
     assert dense.lsh_tables(0.5, 0.99, 8) > dense.lsh_tables(0.8, 0.99, 8)
+
+
+def test_a_left_block_leaves_one_list_per_run(spark, monkeypatch):
+    """Many right blocks: a row's list is kept over a run of them, and left blocks are few."""
+    left, _, _ = vectors(spark, 300, 4, 10)
+    right, _, _ = vectors(spark, 400, 4, 11)
+    whole = rows(dense.best_scores(left, right, 5, above=0.0))
+    seen, real = [], dense._multiply
+    monkeypatch.setattr(dense, "_multiply", lambda *a: seen.append(real(*a)) or seen[0])
+    got = dense.best_scores(left, right, 5, above=0.0, block_rows=10)
+    assert rows(got) == whole
+    lists = Counter(r[0] for r in rows(seen[0]))
+    assert max(lists.values()) <= 5 * math.ceil(40 / dense.RUN_BLOCKS)
+
+
+def test_blocks_of_one_row_need_few_stages(spark):
+    left, _, _ = vectors(spark, 60, 4, 12)
+    right, _, _ = vectors(spark, 400, 4, 13)
+    trace = []
+    got = rows(dense.best_by_norm(left, right, 3, block_rows=1, trace=trace))
+    assert got == rows(dense.best_scores(left, right, 3, above=0.0))
+    assert len(trace) <= 9 and sum(a * b for a, b in trace) <= 70 * 17
+
+
+def test_equal_scores_go_by_id():
+    best = dense._Best(1, 2, 0.0)
+    for ids in ([7, 8], [3, 9], [5, 1]):
+        best.meet(np.ones((1, 1)), np.array(ids), np.ones((2, 1)))
+    assert best.ids.tolist() == [[1, 3]] and best.scores.tolist() == [[1.0, 1.0]]
