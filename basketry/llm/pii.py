@@ -4,10 +4,10 @@ Base patterns find e-mail addresses, IP addresses, card and phone numbers whose
 always stay. High-recall generators propose further, overlapping spans. A candidate is described
 by its format (lengths, digits, separators, groups, checksums) and its context (neighbouring
 characters, cue words before it, digits around it). Boosted trees learn what personal data looks
-like from a bounded sample of candidates, where base spans are the positive and candidates that
-touch no base span of their kind the negative examples. On a part of the sample that training did
-not see, each kind gets the lowest threshold at which the wanted precision holds; candidates that
-reach it are added, best first, unless they overlap a span of their kind.
+like from all candidates but a third, where base spans are the positive and candidates that
+touch no base span of their kind the negative examples. On the third that training did not see,
+each kind gets the lowest threshold at which the wanted precision holds; candidates that reach it
+are added, best first, unless they overlap a span of their kind. A sample only serves if asked for.
 
 Spans are code points, end exclusive. Null and empty texts have none. With no positive or no
 negative example nothing is added. Every row is judged for itself, so doc_ids may repeat or be
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry.llm import texts
@@ -30,8 +30,6 @@ from basketry.llm.texts import write_step
 from basketry.runtime import cut_lineage
 
 KINDS = ("email", "ip", "card", "phone")
-#: Candidates that the trees are fitted and the thresholds calibrated on, the first by hash.
-SAMPLE = 20_000
 PRECISION = 0.995
 #: Added spans need this many positive calibration examples of their kind.
 _LEAST_POSITIVE = 10
@@ -179,15 +177,29 @@ def _thresholds(scored: list, precision: float) -> dict[int, float]:
     return out
 
 
-def select_added(found: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> DataFrame:
-    """``row, added`` of the candidates that the trees and thresholds select."""
+def _limits(scored: DataFrame, precision: float) -> dict[int, float]:
+    """Per kind the lowest score from which on at least ``precision`` of the labelled calibration
+    candidates (``rank, label, p``) are positive. Candidates are counted per score first, and the
+    trees give few scores."""
+    falling = Window.partitionBy("rank").orderBy(F.desc("p"))
+    counted = scored.groupBy("rank", "p").agg(F.sum("label").alias("yes"), F.count("*").alias("n"))
+    held = counted.select(
+        "rank", "p", F.sum("yes").over(falling).alias("positive"), F.sum("n").over(falling).alias("seen")
+    ).where((F.col("positive") >= precision * F.col("seen")) & (F.col("positive") >= _LEAST_POSITIVE))
+    return {r["rank"]: max(r["p"], 0.5) for r in held.groupBy("rank").agg(F.min("p").alias("p")).collect()}
+
+
+def select_added(found: DataFrame, sample: int | None = None, precision: float = PRECISION) -> DataFrame:
+    """``row, added`` of the candidates that the trees and thresholds select. All labelled
+    candidates teach and calibrate, or the first ``sample`` by hash."""
     flat = found.where("size(candidates) > 0").select(
         "row", F.explode("candidates").alias("c")).select("row", "c.*")
-    drawn = flat.where("label >= 0").withColumn(
-        "h", F.xxhash64("row", "rank", "start", "end")).orderBy("h", "row", "start").limit(sample)
+    drawn = flat.where("label >= 0").withColumn("h", F.xxhash64("row", "rank", "start", "end"))
+    if sample is not None:
+        drawn = drawn.orderBy("h", "row", "start").limit(sample)
     drawn = write_step(drawn.withColumn("calibrate", F.pmod(F.col("h"), F.lit(3)) == 0).select(
         "rank", F.col("label").cast("double").alias("label"), "calibrate",
-        array_to_vector(F.col("features").cast("array<double>")).alias("vector")), "pii-sample")
+        array_to_vector(F.col("features").cast("array<double>")).alias("vector")), "pii-examples")
     fit = drawn.where("not calibrate")
     labels = {r["label"]: r["n"] for r in fit.groupBy("label").agg(F.count("*").alias("n")).collect()}
     chosen = F.lit(False)
@@ -196,12 +208,10 @@ def select_added(found: DataFrame, sample: int = SAMPLE, precision: float = PREC
     if len(labels) == 2:
         model = GBTClassifier(
             featuresCol="vector", labelCol="label", maxIter=12, maxDepth=4, stepSize=0.3, seed=3,
-            maxBins=64, cacheNodeIds=False).fit(fit.coalesce(2))
+            maxBins=64, cacheNodeIds=False).fit(fit)
         probability = vector_to_array("probability")[1]
-        # As many rows as the sample at most.
-        scored = model.transform(drawn.where("calibrate")).select(
-            "rank", "label", probability.alias("p")).collect()
-        limits = _thresholds([(r["rank"], r["label"], r["p"]) for r in scored], precision)
+        limits = _limits(model.transform(drawn.where("calibrate")).select(
+            "rank", "label", probability.alias("p")), precision)
         candidates = model.transform(candidates.withColumn(
             "vector", array_to_vector(F.col("features").cast("array<double>"))))
         score = probability
@@ -217,7 +227,7 @@ def _overlaps(span: Column, spans: Column) -> Column:
                     & (span["start"] < s["end"]))
 
 
-def find_pii(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> DataFrame:
+def find_pii(docs: DataFrame, sample: int | None = None, precision: float = PRECISION) -> DataFrame:
     """``doc_id, base, spans`` per row: spans are ``rank, start, end``, in that order."""
     found = propose(docs)
     joined = found.drop("candidates").join(select_added(found, sample, precision), "row", "left")

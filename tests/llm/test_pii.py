@@ -2,6 +2,7 @@ import re
 
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from basketry.llm import pii
 from tests.llm import fixtures
@@ -72,3 +73,26 @@ def test_null_ids_and_empty_table(spark):
     got = pii.find_pii(fixtures.table(spark, [TEXTS[0], TEXTS[0]], [None, None])).collect()
     assert [len(r["spans"]) for r in got] == [1, 1]
     assert pii.find_pii(fixtures.empty(spark)).count() == 0
+
+
+def test_all_candidates_teach(spark, monkeypatch):
+    n = 21_000
+    features = F.array(*(F.when(F.col("id") % 3 == 0, F.lit(float(k))).otherwise(F.lit(1.0)).cast("float")
+                         for k in range(26)))
+    candidate = F.struct(
+        F.lit(0).alias("rank"), F.lit(0).alias("start"), F.lit(9).alias("end"),
+        (F.col("id") % 3 == 0).cast("int").alias("label"), features.alias("features"))
+    found = spark.range(n).select(F.col("id").alias("row"), F.array(candidate).alias("candidates"))
+    kept, real = [], pii.write_step
+    monkeypatch.setattr(pii, "write_step", lambda df, label: kept.append(real(df, label)) or kept[-1])
+    pii.select_added(found)
+    assert kept[0].count() == n
+
+
+def test_limits_of_counted_scores(spark):
+    scored = [(k % 4, float(k % 7 > 2 or k % 5 == 0), (k * 7 % 11) / 11) for k in range(700)]
+    scored += [(0, 1.0, 0.99)] * 30
+    frame = spark.createDataFrame(scored, "rank int, label double, p double")
+    for precision in (0.3, 0.7, 0.99):
+        want = pii._thresholds([(r, y, s) for r, y, s in scored], precision)
+        assert pii._limits(frame, precision) == want
