@@ -168,7 +168,7 @@ def uv_running(
 
 def bucket_span(limit: int) -> int:
     """Length of a time bucket, in microseconds like ``limit``."""
-    return max(3600 * _MICROS, 4 * limit)
+    return max(3600 * _MICROS, 16 * limit)
 
 
 def buckets_of(at: Column, limit: int, span: int) -> Column:

@@ -207,3 +207,10 @@ def test_pages_of_lists(spark):
     want = lists.from_rec_list(
         lists.to_rec_list(flat, "product_id", "other_id", "score", None, "rec_id"), "product_id", "rec_id")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_a_long_limit_makes_few_buckets():
+    """A user's month is at most three buckets of the day's limit; an hour is still the least."""
+    day = 24 * 3600 * 1_000_000
+    assert 30 * day / events.bucket_span(day) < 2
+    assert events.bucket_span(120 * 1_000_000) == 3600 * 1_000_000
