@@ -17,13 +17,13 @@ from __future__ import annotations
 import base64
 import json
 from array import array
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,10 +36,16 @@ FREQUENT_WORDS = 20_000
 #: Distinct stretches of text a worker remembers the ids of.
 CACHE_STRETCHES = 450_000
 #: Bytes of text cut into stretches at a time.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 2 << 20
 NEVER = 1 << 30
+#: Stands behind the tokens of a word; makes no pair.
+_NO_TOKEN = (1 << 31) - 1
 _BUCKETS = 8192
 _ODD_BLANK = regex.compile(r" (?=\s|$)")
+#: Where Arrow cuts, and what it leaves to Python: the same and a little more.
+_CUT = "\x1f"
+_MAY_BE_ODD = (r"\x1f| (?:[\s\x0b\x1c-\x1e\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}"
+               r"\x{205f}\x{3000}]|$)")
 
 
 @lru_cache(maxsize=2)
@@ -102,19 +108,23 @@ def frequent_words(docs: DataFrame, pattern: str, n: int) -> DataFrame:
     """``word``: the words of the ``n`` most frequent stretches of all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def counted() -> pa.RecordBatch:
-            return pa.record_batch([
-                pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64()),
-            ], ["stretch", "n"])
+        def added(parts: list[pa.Table]) -> pa.Table:
+            return pa.concat_tables(parts).group_by("stretch").aggregate([("n", "sum")]).rename_columns(
+                ["stretch", "n"])
 
-        counts: Counter = Counter()
+        held, rows = [], 0
         for part in texts.slices(batches, "text", SLICE_BYTES):
-            for text in part[0].to_pylist():
-                counts.update(_stretches(text or ""))
-            if len(counts) > CACHE_STRETCHES:
-                yield counted()
-                counts.clear()
-        yield counted()
+            names, which, _ = _distinct_stretches(part[0])
+            held.append(pa.table([names, np.bincount(which, minlength=len(names))], ["stretch", "n"]))
+            rows += len(names)
+            if rows > CACHE_STRETCHES:
+                held = [added(held)]
+                rows = len(held[0])
+                if 2 * rows > CACHE_STRETCHES:
+                    yield from held[0].to_batches()
+                    held, rows = [], 0
+        if held:
+            yield from added(held).to_batches()
 
     counted = docs.select(F.col("text").cast("string")).mapInArrow(run, "stretch string, n long")
     best = counted.groupBy("stretch").agg(F.sum("n").alias("n")).orderBy(
@@ -144,6 +154,18 @@ def _stretches(text: str) -> list[str]:
     return [first, *map(" ".__add__, rest)] if first else list(map(" ".__add__, rest))
 
 
+def _distinct_stretches(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct stretches of all texts, which one stands at each place, and how many each text
+    has. Arrow cuts the texts, unless one has an odd blank or holds the mark of the cuts."""
+    column = column.fill_null("")
+    if pc.any(pc.match_substring_regex(column, _MAY_BE_ODD)).as_py():
+        lists = pa.array([_stretches(t) for t in column.to_pylist()], pa.list_(pa.string()))
+    else:
+        lists = pc.split_pattern(pc.replace_substring(column, " ", f"{_CUT} "), _CUT)
+    coded = lists.flatten().dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(), lists.value_lengths().to_numpy()
+
+
 class PairTable:
     """Rank of the token that two tokens make, for arrays of pairs: two hash tables, a pair is
     in one of them."""
@@ -156,10 +178,10 @@ class PairTable:
                 if a is not None and b is not None:
                     found[a << 32 | b] = rank
         keys = np.array(sorted(found), np.uint64)
-        values = np.array([found[k] for k in keys.tolist()], np.int64)
+        values = np.array([found[k] for k in keys.tolist()], np.int32)
         self.bits = max(10, (16 * len(keys)).bit_length())
         self.keys = np.full((2, 1 << self.bits), np.iinfo(np.uint64).max, np.uint64)
-        self.values = np.full((2, 1 << self.bits), NEVER, np.int64)
+        self.values = np.full((2, 1 << self.bits), NEVER, np.int32)
         rest = np.arange(len(keys))
         for side in (0, 1):
             at = self._slot(keys[rest], side)
@@ -175,7 +197,7 @@ class PairTable:
 
     def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         keys = left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64)
-        out = np.full(keys.shape, NEVER, np.int64)
+        out = np.full(keys.shape, NEVER, np.int32)
         for side in (0, 1):
             at = self._slot(keys, side)
             out = np.where(self.keys[side, at] == keys, self.values[side, at], out)
@@ -187,87 +209,102 @@ class PairTable:
 
 def fold(words: list[str], ranks: dict[bytes, int], pairs: PairTable) -> list[bytes]:
     """Ids (as bytes) of each word: in every round each word joins its leftmost pair of lowest
-    rank. Words of one length are folded together."""
+    rank. Words of about one length are folded together, filled up behind their ends."""
     coded = [w.encode() for w in words]
     out = [b""] * len(words)
-    single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-    by_length: dict[int, list[int]] = {}
+    single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+    by_width: dict[int, list[int]] = {}
     for k, c in enumerate(coded):
         whole = ranks.get(c)
         if whole is not None:
             out[k] = array("i", [whole]).tobytes()
-        else:
-            by_length.setdefault(len(c), []).append(k)
-    by_length.pop(0, None)
-    for length, chosen in by_length.items():
+        elif c:
+            by_width.setdefault(-(-len(c) // 4) * 4, []).append(k)
+    for width, chosen in by_width.items():
         who = np.array(chosen)
-        ids = single[np.frombuffer(b"".join(coded[k] for k in chosen), np.uint8)].reshape(-1, length)
+        size = np.array([len(coded[k]) for k in chosen])
+        ids = np.full((len(who), width), _NO_TOKEN, np.int32)
+        ids[np.arange(width) < size[:, None]] = single[
+            np.frombuffer(b"".join(coded[k] for k in chosen), np.uint8)]
         rank = pairs(ids[:, :-1], ids[:, 1:])
         while len(who):
             row = np.arange(len(who))
-            if ids.shape[1] > 1:
-                at = rank.argmin(axis=1)
-                lowest = rank[row, at]
-            else:
-                lowest = np.full(len(who), NEVER)
+            at = rank.argmin(axis=1)
+            lowest = rank[row, at]
             done = lowest == NEVER
             if done.any():
-                for k, final in zip(who[done], ids[done].astype(np.int32)):
-                    out[k] = final.tobytes()
+                for k, n, final in zip(who[done].tolist(), size[done].tolist(), ids[done]):
+                    out[k] = final[:n].tobytes()
                 left = ~done
-                who, ids, rank, row = who[left], ids[left], rank[left], np.arange(left.sum())
+                who, size, ids, rank = who[left], size[left], ids[left], rank[left]
                 if not len(who):
                     break
-                at, lowest = at[left], lowest[left]
+                row, at, lowest = np.arange(len(who)), at[left], lowest[left]
             ids[row, at] = lowest
-            # The columns behind the joined pair move up by one.
-            column = np.arange(ids.shape[1] - 1)
-            ids = np.take_along_axis(ids, column + (column > at[:, None]), axis=1)
-            column = np.arange(rank.shape[1] - 1)
-            rank = np.take_along_axis(rank, column + (column >= at[:, None]), axis=1)
-            for side, has in ((at - 1, at > 0), (at, at < rank.shape[1])):
+            # What is behind the joined pair moves up by one.
+            column = np.arange(width - 1)
+            ids[:, :-1] = np.take_along_axis(ids, column + (column > at[:, None]), axis=1)
+            ids[:, -1] = _NO_TOKEN
+            column = np.arange(width - 2)
+            rank[:, :-1] = np.take_along_axis(rank, column + (column >= at[:, None]), axis=1)
+            rank[:, -1] = NEVER
+            size -= 1
+            for side, has in ((at - 1, at > 0), (at, at < width - 1)):
                 r, c = row[has], side[has]
                 rank[r, c] = pairs(ids[r, c], ids[r, c + 1])
     return out
 
 
 class _Memory(dict):
-    """Ids, as bytes, of stretches of text."""
+    """Ids, as bytes, of stretches of text and of their words. A word that is a stretch as well
+    has the same ids: the pattern finds a word again in the word alone."""
 
     def __init__(self, pattern: str, ranks: dict[bytes, int], known: dict[str, list[int]]):
         super().__init__()
         self.find, self.ranks, self.pairs = regex.compile(pattern).findall, ranks, PairTable(ranks)
         self.known = {word: array("i", ids).tobytes() for word, ids in known.items()}
-        self.words = dict(self.known)
+        self.update(self.known)
 
     def learn(self, texts: list[list[str]]) -> None:
         """Fold the words of the stretches not known yet."""
         if len(self) > CACHE_STRETCHES:
             self.clear()
-        if len(self.words) > CACHE_STRETCHES:
-            self.words = dict(self.known)
+            self.update(self.known)
         new = list(set().union(*texts).difference(self))
         found = self._words(new)
-        unknown = list(set(chain.from_iterable(found)).difference(self.words))
-        self.words.update(zip(unknown, fold(unknown, self.ranks, self.pairs)))
+        unknown = list(set(chain.from_iterable(found)).difference(self))
+        self.update(zip(unknown, fold(unknown, self.ranks, self.pairs)))
         for stretch, words in zip(new, found):
-            self[stretch] = b"".join(map(self.words.__getitem__, words))
+            if len(words) != 1:
+                self[stretch] = b"".join(map(self.__getitem__, words))
 
     def _words(self, stretches: list[str]) -> list[list[str]]:
         """Words of each stretch. Stretches that begin with a blank before a word are searched
         as one text, which is cut at the same places."""
-        apart = [s for s in stretches if s[:1] != " " or not s[1:2] or s[1].isspace()]
-        if apart:
-            rest = set(apart)
-            found = dict(zip(apart, map(self.find, apart)))
-            joined = [s for s in stretches if s not in rest]
-            found.update(zip(joined, self._words(joined)))
-            return [found[s] for s in stretches]
-        words = self.find("".join(stretches))
-        ends = np.cumsum([len(w) for w in words]) if words else np.zeros(0, np.int64)
-        bounds = np.cumsum([0] + [len(s) for s in stretches])
+        apart = {k: self.find(s) for k, s in enumerate(stretches)
+                 if s[:1] != " " or not s[1:2] or s[1].isspace()}
+        joined = [s for k, s in enumerate(stretches) if k not in apart] if apart else stretches
+        words = self.find("".join(joined))
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        bounds = np.cumsum(np.fromiter(map(len, joined), np.int64, len(joined)))
         cuts = np.searchsorted(ends, bounds, "right").tolist()
-        return [words[a:b] for a, b in zip(cuts, cuts[1:])]
+        found = (words[a:b] for a, b in zip([0, *cuts], cuts))
+        return [apart[k] if k in apart else next(found) for k in range(len(stretches))]
+
+    def ids(self, column: pa.Array) -> pa.Array:
+        """Ids of each text."""
+        names, which, sizes = _distinct_stretches(column)
+        names = names.to_pylist()
+        self.learn([names])
+        found = [self[name] for name in names]
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        size = lengths[which]
+        total = np.concatenate([[0], np.cumsum(size)])
+        begin = (np.cumsum(lengths) - lengths)[which] - total[:-1]
+        table = np.frombuffer(b"".join(found), np.int32)
+        values = table[np.repeat(begin, size) + np.arange(total[-1])]
+        offsets = total[np.concatenate([[0], np.cumsum(sizes)])]
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, frequent: int = FREQUENT_WORDS
@@ -284,17 +321,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, frequent: int = FREQU
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = texts.held(name, lambda: _Memory(pattern, *shared.value))
         for part in texts.slices(batches, "text", SLICE_BYTES, keep=name):
-            cut = [_stretches(t or "") for t in part[1].to_pylist()]
-            memory.learn(cut)
-            coded = [b"".join(map(memory.__getitem__, stretches)) for stretches in cut]
-            offsets = [0]
-            for c in coded:
-                offsets.append(offsets[-1] + len(c) // 4)
-            ids = pa.Array.from_buffers(
-                pa.int32(), offsets[-1], [None, pa.py_buffer(b"".join(coded))])
-            yield pa.record_batch(
-                [part[0], pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids)],
-                ["doc_id", "ids"])
+            yield pa.record_batch([part[0], memory.ids(part[1])], ["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, "doc_id long, ids array<int>")

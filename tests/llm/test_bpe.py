@@ -1,6 +1,7 @@
 import hashlib
 
 import public_tokenizers
+import pyarrow as pa
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -59,3 +60,22 @@ def test_words_are_folded_together_like_one_by_one():
 def test_stretches_found_together_like_one_by_one():
     stretches = [" a", " b!", "x", " ", " \n", " c\n", " d's", "  e", ""]
     assert MEMORY._words(stretches) == [MEMORY.find(s) for s in stretches]
+
+
+@settings(max_examples=200)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet=" \n\tab'\x1f\x1c\x85\u2003東!", max_size=12)), max_size=4))
+def test_distinct_stretches_of_a_column(texts):
+    for column in (texts, [None if t is None else "a".join(t.split()) for t in texts]):
+        names, which, sizes = bpe._distinct_stretches(pa.array(column, pa.string()))
+        names, at = names.to_pylist(), [0, *sizes.cumsum().tolist()]
+        assert len(set(names)) == len(names)
+        assert ["".join(names[k] for k in which[a:b]) for a, b in zip(at, at[1:])] == [
+            t or "" for t in column]
+        got = MEMORY.ids(pa.array(column, pa.string())).to_pylist()
+        assert got == [WHOLE.encode_ordinary(t or "") for t in column]
+
+
+def test_a_word_is_remembered_once():
+    memory = bpe._Memory(public_tokenizers.PATTERN, RANKS, {})
+    memory.learn([[" hello", " zzqx", " hello!", ""]])
+    assert set(memory) == {" hello", " zzqx", " hello!", "!", ""}
