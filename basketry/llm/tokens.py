@@ -18,10 +18,8 @@ text are not read.
 from __future__ import annotations
 
 import os
-import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +31,7 @@ from basketry.llm import texts
 from basketry.llm.texts import write_step
 from basketry.runtime import scratch_path, shuffle_width
 
-#: Distinct pieces of text a worker remembers the ids of.
+#: Distinct parts of pieces of text a worker remembers the ids of.
 CACHE_PIECES = 900_000
 #: Bytes of text a task works on at a time.
 SLICE_BYTES = 2 << 20
@@ -48,62 +46,91 @@ _BLOCK = (
 _LENGTHS = np.array([[(c >> s & 3) + 1 for s in (0, 2, 4, 6)] for c in range(256)], np.int64)
 
 
-class _Pieces(dict):
-    """Ids (as bytes) of pieces of text without spaces; grows to a bound, then starts anew."""
+class _Pieces:
+    """Ids of pieces of text without spaces, by their parts; grows to a bound, then starts anew."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = id_type(self.size)
-        self.cores: dict[str, bytes] = {}
-
-    def learn(self, found: list[list[str]]) -> None:
-        """Encode the pieces not known yet. Marks at the ends of a piece and letter case make no
-        difference to the ids of the rest, so pieces share what is left without them."""
-        if len(self) > CACHE_PIECES or len(self.cores) > CACHE_PIECES:
-            self.clear()
-            self.cores.clear()
-        new = list(set().union(*found).difference(self))
-        parts = [_parts(piece) for piece in new]
-        self._encode(list(set(chain.from_iterable(parts)).difference(self.cores)))
-        for piece, cores in zip(new, parts):
-            self[piece] = b"".join(map(self.cores.__getitem__, cores))
-
-    def _encode(self, cores: list[str]) -> None:
-        """Many in one string; a token belongs to the core that its offset lies in."""
-        width = np.dtype(self.dtype).itemsize
-        for start in range(0, len(cores), 5000):
-            part = cores[start:start + 5000]
-            bounds = np.cumsum([0] + [len(core) + 1 for core in part])
+        self._forget()
+
+    def _forget(self) -> None:
+        """No part is known; the ids of all parts lie behind each other in ``flat``."""
+        self.number: dict[str, int] = {}
+        self.flat, self.bounds = np.zeros(0, self.dtype), np.zeros(1, np.int64)
+
+    def ids(self, names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces behind each other, and how many each has. Marks at the ends of a piece
+        and letter case make no difference to the ids of the rest, so pieces share what is left
+        without them."""
+        coded = pa.concat_arrays(_parts(names)).dictionary_encode()
+        parts = coded.dictionary.to_pylist()
+        if len(self.number) > CACHE_PIECES:
+            self._forget()
+        self._encode([part for part in parts if part not in self.number])
+        known = np.fromiter(map(self.number.__getitem__, parts), np.int64, len(parts))
+        which = known[coded.indices.to_numpy()].reshape(3, -1).T.ravel()
+        size = np.diff(self.bounds)[which]
+        total = np.cumsum(size)
+        at = np.repeat(self.bounds[which] - (total - size), size) + np.arange(size.sum())
+        return self.flat[at], size.reshape(-1, 3).sum(axis=1)
+
+    def _encode(self, new: list[str]) -> None:
+        """Many in one string; a token belongs to the part that its offset lies in."""
+        flat, bounds, n = [self.flat], [self.bounds], len(self.flat)
+        for start in range(0, len(new), 2000):
+            part = new[start:start + 2000]
+            limits = np.cumsum([0] + [len(name) + 1 for name in part])
             found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(found.ids, self.dtype).tobytes()
             begins = np.array(found.offsets, np.int64).reshape(-1, 2)[:, 0]
-            cuts = (np.searchsorted(begins, bounds) * width).tolist()
-            for core, a, b in zip(part, cuts, cuts[1:]):
-                self.cores[core] = ids[a:b]
+            bounds.append(np.searchsorted(begins, limits)[1:] + n)
+            flat.append(np.array(found.ids, self.dtype))
+            n += len(begins)
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+        self.flat, self.bounds = np.concatenate(flat), np.concatenate(bounds)
 
 
 #: Marks that are no part of a special token and no apostrophe.
 _MARKS = ".,!?;:#*%$&"
-#: Characters that normal forms leave alone and that have one lower case.
-_PLAIN = re.compile("[\0-\u012f\u0131-\u024f]*")
 
 
-def _parts(piece: str) -> tuple[str, ...]:
-    """Marks before, the middle in lower case, and marks after. A middle that ends in a letter
-    or digit is never joined with a mark; other pieces stay whole."""
-    rest = piece.lstrip(_MARKS)
-    core = rest.rstrip(_MARKS)
-    if not (core[:1].isalnum() and core[-1:].isalnum() and _PLAIN.fullmatch(piece)):
-        return (piece,)
-    found = (core.lower(),)
-    if len(rest) < len(piece):
-        found = (piece[:len(piece) - len(rest)], *found)
-    return (*found, rest[len(core):]) if len(core) < len(rest) else found
+def _class(points: Iterable[int]) -> str:
+    """The characters of a class of a pattern."""
+    return "".join(rf"\x{{{p:x}}}" for p in points)
+
+
+#: Characters that normal forms leave alone and that have one lower case; a middle of them that
+#: begins and ends with a letter or digit.
+_PLAIN = [p for p in range(0x250) if p != 0x130]
+_ENDS = f"[{_class(p for p in _PLAIN if chr(p).isalnum())}]"
+_MIDDLE = rf"(?s)\A{_ENDS}(?:[{_class(_PLAIN)}]*{_ENDS})?\z"
+
+
+def _parts(names: pa.Array) -> list[pa.Array]:
+    """Of each piece the middle in lower case, between marks before and after. A middle that ends
+    in a letter or digit is never joined with a mark; other pieces stay whole, as a middle."""
+    rest = pc.utf8_ltrim(names, characters=_MARKS)
+    core = pc.utf8_rtrim(rest, characters=_MARKS)
+    apart = pc.match_substring_regex(core, _MIDDLE)
+    plain = apart.to_numpy(zero_copy_only=False)
+    raw, offsets = texts.utf8(names)
+    sizes = [pc.binary_length(x).to_numpy(zero_copy_only=False) for x in (names, rest, core)]
+    before, after = (sizes[0] - sizes[1]) * plain, (sizes[1] - sizes[2]) * plain
+    return [_spans(raw, offsets[:-1], before), pc.if_else(apart, pc.utf8_lower(core), names),
+            _spans(raw, offsets[1:] - after, after)]
+
+
+def _spans(raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The strings of these places."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    data = raw[np.repeat(starts - (ends - sizes), sizes) + np.arange(sizes.sum())]
+    return pa.Array.from_buffers(pa.string(), len(sizes), [
+        None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32).tobytes()),
+        pa.py_buffer(data.tobytes())])
 
 
 @lru_cache(maxsize=2)
@@ -144,19 +171,14 @@ def encode(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
 
 def _ids(column: pa.Array, pieces: _Pieces) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, and where each text's ids end. Arrow cuts the texts and tells the
-    distinct pieces; only those become Python strings."""
+    distinct pieces; only parts of those become Python strings."""
     lists = pc.split_pattern(pc.replace_substring(column.fill_null(""), "\n", " "), " ")
     coded = lists.flatten().dictionary_encode()
-    names = coded.dictionary.to_pylist()
-    pieces.learn([names])
-    found = [pieces[name] for name in names]
-    width = np.dtype(pieces.dtype).itemsize
-    lengths = np.array([len(f) // width for f in found], np.int64)
+    table, lengths = pieces.ids(coded.dictionary)
     which = coded.indices.to_numpy()
     size = lengths[which]
     total = np.concatenate([[0], np.cumsum(size)])
     begin = (np.cumsum(lengths) - lengths)[which] - total[:-1]
-    table = np.frombuffer(b"".join(found), pieces.dtype)
     ids = table[np.repeat(begin, size) + np.arange(total[-1])]
     return ids, total[np.cumsum(lists.value_lengths().to_numpy())]
 

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -47,3 +48,28 @@ def test_empty_table(spark, tmp_path):
 def test_frequent_ids_take_one_byte():
     control, data = tokens.pack(np.zeros(100, np.uint32))
     assert len(control) == 25 and len(data) == 100
+
+
+def test_pieces_share_their_parts():
+    """Only parts become Python strings, and each is encoded once."""
+    pieces, whole = tokens._Pieces(PATH), Tokenizer.from_file(PATH)
+    marks = ["", ".", "!?", "(", "'", "...", "<|", "#$"]
+    words = ["word", "Word", "WORD", "don't", "Straße", "é", "İx", "12", "a.b", "東京", "x²", "\x00", ""]
+    names = [a + w + b for a in marks for w in words for b in marks]
+    for part in (names, names[::-1], names[:5], []):
+        ids, sizes = pieces.ids(pa.array(part, pa.string()))
+        ends = np.cumsum(sizes).tolist()
+        assert [ids[a:b].tolist() for a, b in zip([0, *ends], ends)] == [
+            whole.encode(name, add_special_tokens=False).ids for name in part]
+    pieces = tokens._Pieces(PATH)
+    pieces.ids(pa.array([a + w + b for a in ".!?" for w in ("word", "Word", "12") for b in ".!?"]))
+    assert sorted(pieces.number) == ["!", ".", "12", "?", "word"]
+
+
+def test_forgotten_parts_are_encoded_again(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 3)
+    pieces = tokens._Pieces(PATH)
+    first = pieces.ids(pa.array(["one", "two.", "three", "four", "five"]))
+    again = pieces.ids(pa.array(["five", "one"]))
+    assert len(pieces.number) == 3
+    assert again[0].tolist() == [*first[0][-again[1][0]:], *first[0][:first[1][0]]]
