@@ -69,39 +69,43 @@ def rank_map(ranks: dict[bytes, int]) -> Column:
 
 def fold_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """``word, ids`` of ``word`` rows: byte pieces, joined pair by pair in order of rank."""
-    table = rank_map(ranks)
-
-    def rank(piece: Column) -> Column:
-        at = F.pmod(F.crc32(F.encode(piece, "UTF-8")), F.lit(_BUCKETS)).cast("int")
-        return F.coalesce(F.try_element_at(F.element_at(table, at + 1), piece), F.lit(NEVER))
-
-    def pair_ranks(pieces: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(1), F.greatest(F.size(pieces) - 1, F.lit(1))),
-            lambda i: F.when(
-                i < F.size(pieces),
-                rank(F.concat(F.element_at(pieces, i), F.element_at(pieces, i + 1)))
-            ).otherwise(NEVER))
-
-    def merge(state: Column, _) -> Column:
-        pieces, pairs = state["pieces"], state["ranks"]
-        lowest = F.array_min(pairs)
-        at = F.array_position(pairs, lowest).cast("int")
-        joined = F.concat(
-            F.slice(pieces, F.lit(1), at - 1),
-            F.array(F.concat(F.element_at(pieces, at), F.element_at(pieces, at + 1))),
-            F.slice(pieces, at + 2, F.greatest(F.size(pieces) - at - 1, F.lit(0))))
-        return F.when(lowest == NEVER, state).otherwise(
-            F.struct(joined.alias("pieces"), pair_ranks(joined).alias("ranks")))
-
     octets = F.octet_length("word")
-    pieces = F.transform(
-        F.sequence(F.lit(1), octets),
-        lambda i: F.hex(F.substring(F.encode("word", "UTF-8"), i, F.lit(1))))
-    start = F.struct(pieces.alias("pieces"), pair_ranks(pieces).alias("ranks"))
-    done = F.aggregate(F.sequence(F.lit(1), octets), start, merge)["pieces"]
-    # The literal must not be copied into several expressions by name, so it has no name.
-    return words.where(octets > 0).select("word", F.transform(done, rank).alias("ids"))
+
+    def folded(table: Column) -> Column:
+        def rank(piece: Column) -> Column:
+            at = F.pmod(F.crc32(F.encode(piece, "UTF-8")), F.lit(_BUCKETS)).cast("int")
+            return F.coalesce(F.try_element_at(F.element_at(table, at + 1), piece), F.lit(NEVER))
+
+        def pair_ranks(pieces: Column) -> Column:
+            return F.transform(
+                F.sequence(F.lit(1), F.greatest(F.size(pieces) - 1, F.lit(1))),
+                lambda i: F.when(
+                    i < F.size(pieces),
+                    rank(F.concat(F.element_at(pieces, i), F.element_at(pieces, i + 1)))
+                ).otherwise(NEVER))
+
+        def merge(state: Column, _) -> Column:
+            pieces, pairs = state["pieces"], state["ranks"]
+            lowest = F.array_min(pairs)
+            at = F.array_position(pairs, lowest).cast("int")
+            joined = F.concat(
+                F.slice(pieces, F.lit(1), at - 1),
+                F.array(F.concat(F.element_at(pieces, at), F.element_at(pieces, at + 1))),
+                F.slice(pieces, at + 2, F.greatest(F.size(pieces) - at - 1, F.lit(0))))
+            return F.when(lowest == NEVER, state).otherwise(
+                F.struct(joined.alias("pieces"), pair_ranks(joined).alias("ranks")))
+
+        pieces = F.transform(
+            F.sequence(F.lit(1), octets),
+            lambda i: F.hex(F.substring(F.encode("word", "UTF-8"), i, F.lit(1))))
+        start = F.struct(pieces.alias("pieces"), pair_ranks(pieces).alias("ranks"))
+        done = F.aggregate(F.sequence(F.lit(1), octets), start, merge)["pieces"]
+        return F.transform(done, rank)
+
+    # The literal stands in the plan once, as what a function is applied to: the driver writes
+    # every plan out as text, with all that is in it.
+    ids = F.element_at(F.transform(F.array(rank_map(ranks)), folded), 1)
+    return words.where(octets > 0).select("word", ids.alias("ids"))
 
 
 def frequent_words(docs: DataFrame, pattern: str, n: int) -> DataFrame:
@@ -127,8 +131,9 @@ def frequent_words(docs: DataFrame, pattern: str, n: int) -> DataFrame:
             yield from added(held).to_batches()
 
     counted = docs.select(F.col("text").cast("string")).mapInArrow(run, "stretch string, n long")
-    best = counted.groupBy("stretch").agg(F.sum("n").alias("n")).orderBy(
-        F.desc("n"), "stretch").limit(n).collect()
+    # Written first: collected at once, the best of every partition would come to the driver.
+    best = write_step(counted.groupBy("stretch").agg(F.sum("n").alias("n")).orderBy(
+        F.desc("n"), "stretch").limit(n).select("stretch"), "frequent-stretches").collect()
     find = regex.compile(pattern).findall
     words = sorted({word for r in best for word in find(r["stretch"])})
     return docs.sparkSession.createDataFrame([(w,) for w in words], "word string")
@@ -312,8 +317,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, frequent: int = FREQU
     """``doc_id, ids`` (array<int>) of each row."""
     spark = docs.sparkSession
     ranks = read_ranks(ranks_path)
-    table = write_step(fold_words(
-        frequent_words(docs, pattern, frequent).repartition(8), ranks), "words")
+    # Without a shuffle in it, Spark doesn't plan this again, nor write the plan out again.
+    table = write_step(fold_words(frequent_words(docs, pattern, frequent), ranks), "words")
     # Bounded by ``frequent``.
     known = {r["word"]: r["ids"] for r in table.collect()}
     shared, name = spark.sparkContext.broadcast((ranks, known)), texts.fresh("ranks")

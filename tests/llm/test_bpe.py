@@ -79,3 +79,20 @@ def test_a_word_is_remembered_once():
     memory = bpe._Memory(public_tokenizers.PATTERN, RANKS, {})
     memory.learn([[" hello", " zzqx", " hello!", ""]])
     assert set(memory) == {" hello", " zzqx", " hello!", "!", ""}
+
+
+def test_ranks_stand_once_in_the_plan_that_folds(spark):
+    words = spark.createDataFrame([("word",)], "word string")
+    literal = '"616263"'
+    ranks = {**{bytes([b]): b for b in range(256)}, b"ab": 256, b"abc": 257}
+    folded = bpe.fold_words(words, ranks)
+    assert folded._jdf.queryExecution().analyzed().toString().count(literal) == 1
+    assert "AdaptiveSparkPlan" not in folded._jdf.queryExecution().executedPlan().toString()
+
+
+def test_frequent_stretches_are_ranked_apart_from_the_driver(spark, monkeypatch):
+    written, step = [], bpe.write_step
+    monkeypatch.setattr(bpe, "write_step", lambda df, label: written.append(label) or step(df, label))
+    docs = spark.createDataFrame([("a b b c c c",), ("c b d",), (None,)], "text string")
+    assert [r["word"] for r in bpe.frequent_words(docs, public_tokenizers.PATTERN, 2).collect()] == [" b", " c"]
+    assert written == ["frequent-stretches"]
