@@ -41,11 +41,13 @@ from basketry.runtime import shared_dir
 #: Words of the automaton at most.
 LEXICON_WORDS = 1 << 17
 #: Words beyond it that a worker remembers the ids of.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 #: Distinct words a task counts before it hands them on.
 COUNTED_WORDS = 200_000
 #: Bytes of text a task works on at a time: code points and offsets take some forty times as much.
 SLICE_BYTES = 1 << 20
+#: Words merged side by side.
+MERGED_WORDS = 20_000
 #: Longer words (in bytes) are merged one by one.
 LONG_WORD = 48
 _NEVER = np.int64(1 << 40)
@@ -484,7 +486,8 @@ def build_lexicon(docs: DataFrame, model: Model, limit: int = LEXICON_WORDS) ->
 class _Encoder:
     def __init__(self, model: Model, lexicon: Lexicon):
         self.model, self.lexicon = model, lexicon
-        self.others: dict[bytes, np.ndarray] = {}
+        # Ids as bytes: an array of its own for each word would take several times as much.
+        self.others: dict[bytes, bytes] = {}
 
     def __call__(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts and the offsets of the texts in them."""
@@ -502,17 +505,17 @@ class _Encoder:
         unknown = np.flatnonzero(~known)
         if len(unknown):
             found, which = self._others(raw, starts, ends, special, unknown)
-            lengths = np.array([len(i) for i in found], np.int64)
+            lengths = np.array([len(i) // 4 for i in found], np.int64)
             begin[unknown] = (used + np.cumsum(lengths) - lengths)[which]
             size[unknown] = lengths[which]
-            extra += found
+            extra.append(np.frombuffer(b"".join(found), "<u4"))
         table = np.concatenate(extra) if len(extra) > 1 else lexicon.ids
         total = np.concatenate([[0], np.cumsum(size)])
         ids = table[np.repeat(begin - total[:-1], size) + np.arange(total[-1])]
         return ids.astype("<u4"), total[first]
 
-    def _others(self, raw, starts, ends, special, unknown) -> tuple[list[np.ndarray], np.ndarray]:
-        """Ids of the distinct words among ``unknown``, and which of them each one is."""
+    def _others(self, raw, starts, ends, special, unknown) -> tuple[list[bytes], np.ndarray]:
+        """Ids, as bytes, of the distinct words among ``unknown``, and which of them each one is."""
         whole, memory, index = raw.tobytes(), self.others, {}
         which = np.empty(len(unknown), np.int64)
         for k, (a, b, token) in enumerate(zip(
@@ -523,11 +526,10 @@ class _Encoder:
         if len(memory) + len(new) > CACHE_WORDS:
             memory.clear()
             new = [w for w in index if not isinstance(w, int)]
-        memory.update(zip(new, merge(new, self.model)))
-        return [np.array([w], np.uint32) if isinstance(w, int) else memory[w] for w in index], which
-
-
-_encoders: dict[str, _Encoder] = {}
+        for start in range(0, len(new), MERGED_WORDS):
+            part = new[start:start + MERGED_WORDS]
+            memory.update(zip(part, (i.astype("<u4").tobytes() for i in merge(part, self.model))))
+        return [w.to_bytes(4, "little") if isinstance(w, int) else memory[w] for w in index], which
 
 
 def encode(docs: DataFrame, vocabulary: str, limit: int = LEXICON_WORDS) -> DataFrame:
@@ -537,11 +539,9 @@ def encode(docs: DataFrame, vocabulary: str, limit: int = LEXICON_WORDS) -> Data
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _encoders:
-            _encoders.clear()
-            _encoders[name] = _Encoder(shared.value, _lexicon(name))
-        for part in texts.slices(batches, "text", SLICE_BYTES):
-            ids, offsets = _encoders[name](*texts.utf8(part[1]))
+        encoder = texts.held(name, lambda: _Encoder(shared.value, _lexicon(name)))
+        for part in texts.slices(batches, "text", SLICE_BYTES, keep=name):
+            ids, offsets = encoder(*texts.utf8(part[1]))
             coded = pa.Array.from_buffers(pa.binary(), part.num_rows, [
                 None, pa.py_buffer((4 * offsets).astype(np.int32).tobytes()),
                 pa.py_buffer(ids.tobytes())])
@@ -581,7 +581,8 @@ def op13_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.json")
-    found = decode(encode(texts.documents(spark, sf_dir), path), path)
+    # Encoding and decoding in one stage would take two workers, with their memory, for each task.
+    found = decode(write_step(encode(texts.documents(spark, sf_dir), path), "lexicon-ids"), path)
     return found.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -132,3 +132,19 @@ def test_query_equals_the_library(spark, tokenizer):
         want.append((r["doc_id"], len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
                      hashlib.sha256(text.encode()).hexdigest()))
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_other_words_are_remembered_as_bytes(model, tokenizer):
+    """An array for each word takes several times the memory of its ids."""
+    encoder, found = transducer._Encoder(model, NoLexicon()), ["one two", "two <|endoftext|> three"]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in found]
+    assert encoded(encoder, found) == encoded(encoder, found) == want
+    assert {type(ids) for ids in encoder.others.values()} == {bytes}
+
+
+def test_ids_are_written_before_they_are_decoded(spark, monkeypatch):
+    """In one stage, encoding and decoding would take two workers for each task."""
+    written, step = [], transducer.write_step
+    monkeypatch.setattr(transducer, "write_step", lambda df, label: written.append(label) or step(df, label))
+    transducer.op13_lexicon_bpe(spark, "/root/testdata/sf0.001")
+    assert written == ["word-counts", "lexicon-ids"]
