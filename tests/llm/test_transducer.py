@@ -142,9 +142,10 @@ def test_other_words_are_remembered_as_bytes(model, tokenizer):
     assert {type(ids) for ids in encoder.others.values()} == {bytes}
 
 
-def test_ids_are_written_before_they_are_decoded(spark, monkeypatch):
+def test_ids_are_written_before_they_are_decoded(spark, tmp_path, monkeypatch):
     """In one stage, encoding and decoding would take two workers for each task."""
     written, step = [], transducer.write_step
     monkeypatch.setattr(transducer, "write_step", lambda df, label: written.append(label) or step(df, label))
-    transducer.op13_lexicon_bpe(spark, "/root/testdata/sf0.001")
+    fixtures.edges(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    transducer.op13_lexicon_bpe(spark, f"file://{tmp_path}")
     assert written == ["word-counts", "lexicon-ids"]
