@@ -150,3 +150,17 @@ def test_equal_scores_go_by_id():
     for ids in ([7, 8], [3, 9], [5, 1]):
         best.meet(np.ones((1, 1)), np.array(ids), np.ones((2, 1)))
     assert best.ids.tolist() == [[1, 3]] and best.scores.tolist() == [[1.0, 1.0]]
+
+
+def test_blocks_meet_once_with_few_copies(spark):
+    packed = spark.range(300).withColumnRenamed("id", "block")
+    sides, tasks = dense._pair_sides(packed, 300)
+    dealt = sides.collect()
+    # One copy per block it meets would be 300 * 301.
+    assert len(dealt) < 300 * 301 / 10
+    held = {}
+    for r in dealt:
+        held.setdefault((r["i"], r["j"]), ([], []))[r["side"]].append(r["block"])
+    met = Counter((a, b) for left, right in held.values() for a in left for b in right if a <= b)
+    assert set(met.values()) == {1} and len(met) == 300 * 301 // 2
+    assert len([t for t in held.values() if t[0] and t[1]]) <= tasks
