@@ -49,6 +49,29 @@ def _near(sims: DataFrame, members: DataFrame | None) -> DataFrame:
     )
 
 
+def _reached(asked: DataFrame, named: DataFrame) -> DataFrame:
+    """Rows of ``asked`` (``profile, other, score, depth``) whose members (``named``: ``other,
+    candidate``) can be among the first ``depth`` of their profile's list.
+
+    What scores higher comes before with all its members; of what scores the same, a profile
+    comes after the smallest member of each one whose smallest member is smaller.
+    """
+    sizes = named.groupBy("other").agg(
+        F.count(F.lit(1)).alias("n"), F.count("candidate").alias("known"),
+        F.min("candidate").alias("least"),
+    # A missing id sorts first.
+    ).select("other", "n", F.when(F.col("known") == F.col("n"), F.col("least")).alias("least"))
+    best = Window.partitionBy("profile").orderBy(F.desc("score"))
+    higher = best.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    equal = Window.partitionBy("profile", "score")
+    placed = asked.join(sizes, "other").withColumns({
+        "before": F.sum("n").over(higher) - F.sum("n").over(equal),
+        "place": F.row_number().over(equal.orderBy(F.asc("least"))),
+    })
+    return placed.where(F.col("before") + F.col("place") <= F.col("depth")).drop(
+        "n", "least", "before", "place")
+
+
 def candidates(
     current: DataFrame,
     sims: Lookup,
@@ -84,11 +107,11 @@ def candidates(
         listed = asked.withColumn("candidate", F.col("other"))
     else:
         # Of each similar profile, as many members as the deepest list that needs them.
+        named = members.select(F.col("profile").alias("other"), F.col("product_id").alias("candidate"))
+        asked = _reached(asked, named)
         deepest = asked.groupBy("other").agg(F.max("depth").alias("most"))
         among = Window.partitionBy("other").orderBy(F.asc("candidate"))
-        leading = members.select(
-            F.col("profile").alias("other"), F.col("product_id").alias("candidate")
-        ).join(deepest, "other").withColumn("place", F.row_number().over(among)).where(
+        leading = named.join(deepest, "other").withColumn("place", F.row_number().over(among)).where(
             F.col("place") <= F.col("most")).select("other", "candidate")
         listed = asked.join(leading, "other")
     order = Window.partitionBy("profile").orderBy(F.desc("score"), F.asc("candidate"))

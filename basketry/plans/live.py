@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from basketry.functions import dates, text
 from basketry.operators import events
 from basketry.plans import catalogue
-from basketry.runtime import ROCKSDB_PROVIDER, scratch_path
+from basketry.runtime import ROCKSDB_PROVIDER, cut_lineage, scratch_path
 from basketry.sources import files, retail, tables
 from basketry.streaming import hot_items, logins, recommend, relay, visitors
 
@@ -123,7 +123,9 @@ def stream_recent_ratings(spark: SparkSession, sf: str) -> DataFrame:
 def stream_online_recs(spark: SparkSession, sf: str) -> DataFrame:
     stream = retail.event_rating_of(_sliced(spark, sf))
     members, near = catalogue.content_near(spark, sf)
-    rated = catalogue.rated_products(spark, sf)
+    # Like ``near`` they stand for stored tables: every batch reads them several times.
+    members = cut_lineage(members, "members")
+    rated = cut_lineage(catalogue.rated_products(spark, sf).distinct(), "rated")
     out = _run(spark, "online", lambda base, cp: recommend.start_online_recs(
         stream, lambda keys: near, lambda keys: rated, base, cp, members=lambda: members, every=None))
     lists = tables.read_replaced(spark, "stream_recs", out, "user_id")

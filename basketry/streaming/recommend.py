@@ -32,7 +32,8 @@ class RecentQueue(StatefulProcessor):
         self.queue = handle.getListState("queue", _ENTRY)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        kept = [tuple(r) for r in self.queue.get()] if self.queue.exists() else []
+        # A list that does not exist yet gives no rows; asking first is one more call per user.
+        kept = [tuple(r) for r in self.queue.get()]
         for frame in rows:
             kept += [
                 (int(m), int(t), int(p), float(s))

@@ -107,3 +107,40 @@ def test_nothing_rated_and_unknown_product(spark):
     got = online.online_recs(
         online.newest_per_user(frame), ratings.recent_ratings(frame), sims, none)
     assert got.count() == 0
+
+
+def test_only_reached_neighbours_meet_their_members(spark):
+    # Profile 0 is as near to all of the others, which have 50 members each.
+    near = [(0, p * 50, 0.9) for p in range(1, 200)] + [(0, 0, 1.0)]
+    asked = spark.createDataFrame(
+        [(*r, 60) for r in near], "profile long, other long, score double, depth long")
+    named = spark.createDataFrame(
+        [(p * 50, p * 50 + m) for p in range(200) for m in range(50)], "other long, candidate long")
+    kept = online._reached(asked, named)
+    # 50 members come first, and a tenth place goes to the smallest member of the tenth profile.
+    assert sorted(r["other"] for r in kept.collect()) == [p * 50 for p in range(11)]
+    listed = sorted((-s, c) for p, o, s, _ in map(tuple, asked.collect()) for c in range(o, o + 50))
+    cut = sorted((-r["score"], c) for r in kept.collect() for c in range(r["other"], r["other"] + 50))
+    assert cut[:60] == listed[:60]
+
+
+def test_stream_batches_read_stored_tables(spark, monkeypatch):
+    from basketry.plans import catalogue, live
+
+    joined = spark.range(3).join(spark.range(4), "id").select(
+        F.col("id").alias("user_id"), F.col("id").alias("product_id"), F.col("id").alias("profile"))
+    given = {}
+
+    def begin(stream, sims, rated, base, checkpoint, members, every):
+        given["plans"] = [
+            t._jdf.queryExecution().toString() for t in (rated(None), members())]
+        raise StopIteration
+
+    monkeypatch.setattr(live, "_sliced", lambda spark, sf: spark.createDataFrame(
+        [], "event_id long, user_id long, event_type string, props string, value double, ts string"))
+    monkeypatch.setattr(catalogue, "content_near", lambda spark, sf: (joined, joined))
+    monkeypatch.setattr(catalogue, "rated_products", lambda spark, sf: joined.drop("profile"))
+    monkeypatch.setattr(live.recommend, "start_online_recs", begin)
+    with pytest.raises(StopIteration):
+        live.stream_online_recs(spark, "")
+    assert not any("Join" in plan for plan in given["plans"])
