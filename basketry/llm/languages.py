@@ -28,6 +28,8 @@ from basketry.llm import texts
 
 BUCKETS = 1 << 16
 ROUNDS = 8
+#: Bytes of text a task works on at a time; their n-grams take many times as much.
+SLICE_BYTES = 1 << 20
 UNKNOWN = "und"
 _SMOOTH = 0.5
 #: Most that one word says for one language against another, which tempers n-grams that are
@@ -67,7 +69,7 @@ def train(rows: DataFrame) -> Model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
-        for part in texts.slices(batches, "text"):
+        for part in texts.slices(batches, "text", SLICE_BYTES):
             raw, offsets = texts.utf8(part[0])
             buckets, first, found = _ngrams(raw, offsets)
             starts = np.append(first, len(buckets))[found.offsets]
@@ -137,7 +139,7 @@ def predict(docs: DataFrame, model: Model, keep: list[Column]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, table = shared.value.names, shared.value.table
-        for part in texts.slices(batches, "_text"):
+        for part in texts.slices(batches, "_text", SLICE_BYTES):
             buckets, first, found = _ngrams(*texts.utf8(part[at]))
             per_word = np.zeros((len(first), len(names)), np.float32)
             if len(first) and names:

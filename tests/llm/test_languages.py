@@ -1,10 +1,11 @@
+import pyarrow as pa
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from basketry.llm import languages
+from basketry.llm import languages, texts
 from tests.llm import fixtures
 
 SF = "/root/testdata/sf0.001"
@@ -79,3 +80,14 @@ def test_texts_with_letters_stay_without_a_model(spark):
     docs = fixtures.table(spark, ["some words", "123", None, ""], [1, 2, 3, 4]).withColumn(
         "lang", F.lit(None).cast("string"))
     assert [r["doc_id"] for r in languages.reject_unknown(docs).collect()] == [1]
+
+
+def test_a_slice_takes_bounded_memory():
+    import tracemalloc
+
+    raw, offsets = texts.utf8(pa.array(["some words " * (languages.SLICE_BYTES // 11)]))
+    tracemalloc.start()
+    languages._ngrams(raw, offsets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
