@@ -164,3 +164,36 @@ def test_blocks_meet_once_with_few_copies(spark):
     met = Counter((a, b) for left, right in held.values() for a in left for b in right if a <= b)
     assert set(met.values()) == {1} and len(met) == 300 * 301 // 2
     assert len([t for t in held.values() if t[0] and t[1]]) <= tasks
+
+
+@pytest.mark.parametrize("unit", (True, False))
+def test_best_scores_leave_out_cells_that_hold_nothing(spark, monkeypatch, unit):
+    rnd = np.random.default_rng(21)
+    matrix = rnd.normal(size=(3000, 4))
+    matrix[:400] = matrix[0]
+    matrix[400:410] = 0
+    frame = spark.createDataFrame(
+        [(k, v) for k, v in enumerate(matrix.tolist())], "id long, vector array<double>")
+    monkeypatch.setattr(dense, "LEAST_ROWS", 60)
+    monkeypatch.setattr(dense, "CELL_ROWS", 1)
+    best = dense._Best(3000, 5, 0.1)
+    cells, blocks = dense._celled(frame, 64, 60, unit)
+    packed = [dense._unpack(r.asDict()) for r in dense._pack(cells, unit).collect()]
+    assert sum(len(ids) for ids, _ in packed) == (2990 if unit else 3000)
+    # Four hundred times one vector are no cell of their own.
+    assert len(packed) <= blocks and max(len(ids) for ids, _ in packed) <= 2 * 60 + 60
+    offered = []
+    meet = best.meet
+    best.meet = lambda vectors, ids, matrix, some=None, own=None: (
+        offered.append(len(some) * len(ids)), meet(vectors, ids, matrix, some, own))
+    rows = matrix / np.maximum(np.sqrt((matrix ** 2).sum(axis=1, keepdims=True)), 1e-9) if unit else matrix
+    best.meet_cells(rows, packed, np.arange(3000), unit)
+    assert sum(offered) < 3000 * 3000 / 2
+    found = dense.best_scores(frame, frame, 5, above=0.1, unit=unit, skip_same=True).collect()
+    score = dense.settled(rows @ rows.T)
+    np.fill_diagonal(score, -np.inf)
+    want = set()
+    for row in range(3000):
+        order = np.lexsort((np.arange(3000), -score[row]))[:5]
+        want |= {(row, r + 1, int(o)) for r, o in enumerate(order) if score[row, o] > 0.1}
+    assert {(r["id"], r["rank"], r["other_id"]) for r in found} == want
