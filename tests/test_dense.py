@@ -197,3 +197,26 @@ def test_best_scores_leave_out_cells_that_hold_nothing(spark, monkeypatch, unit)
         order = np.lexsort((np.arange(3000), -score[row]))[:5]
         want |= {(row, r + 1, int(o)) for r, o in enumerate(order) if score[row, o] > 0.1}
     assert {(r["id"], r["rank"], r["other_id"]) for r in found} == want
+
+
+def test_tables_of_signatures_are_dealt_in_rounds(spark, monkeypatch):
+    frame, _, _ = vectors(spark, 300, 8, 5)
+    dealt, cut = [], dense.cut_lineage
+    monkeypatch.setattr(dense, "cut_lineage", lambda df, label: dealt.append(label) or cut(df, label))
+    found = {}
+    for size in (4, 1000):
+        monkeypatch.setattr(dense, "LSH_ROUND", size)
+        found[size] = rows(dense.cosine_pairs_lsh(frame, 0.6, 0.9, bits=6))
+    assert found[4] == found[1000] and len(found[4]) > 50
+    assert dealt.count("met") == math.ceil(dense.lsh_tables(0.6, 0.9, 6) / 4) + 1
+
+
+def test_blocks_keep_the_precision_of_the_vectors(spark):
+    frame, ids, m = vectors(spark, 40, 6, 9)
+    for kind, size in (("array<float>", 4), ("array<double>", 8)):
+        for row in dense._pack(dense._hashed(frame.selectExpr("id", f"cast(vector as {kind}) vector"), 3),
+                               unit=True).collect():
+            got, matrix = dense._unpack(row.asDict(), unit=True)
+            want = m[[ids.index(i) for i in got]]
+            assert len(row["matrix"]) == size * want.size and 3 * 7 - 20 not in got
+            assert np.array_equal(matrix, want / np.sqrt((want * want).sum(axis=1))[:, None])
